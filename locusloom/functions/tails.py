@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray, steps: int = 400) -> np.ndarray:
@@ -79,12 +80,12 @@ def hypergeometric_upper(k: np.ndarray, universe: np.ndarray, members: np.ndarra
     return out
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def rank_correlation_p_udf(rho: pd.Series, n: pd.Series) -> pd.Series:
     values = pd.Series(rank_correlation_p(rho.to_numpy(dtype=float), n.to_numpy(dtype=float)))
     return values.where(values.notna(), None)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def hypergeometric_upper_udf(k: pd.Series, universe: pd.Series, members: pd.Series, drawn: pd.Series) -> pd.Series:
     return pd.Series(hypergeometric_upper(k.to_numpy(), universe.to_numpy(), members.to_numpy(), drawn.to_numpy()))

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from locusloom.functions.tails import rank_correlation_p_udf
 from locusloom.functions.text import INTEGRATION_SUFFIXES, normalize_sample_id
 from locusloom.operators.ordered import average_rank, bh_adjust
+from locusloom.session import cut_lineage
 
 # Metadata columns kept beside the metrics.
 METADATA_COLUMNS = ["condition", "run_id", "sample_title", "gsm"]
@@ -61,16 +62,28 @@ def numeric_metrics(df: DataFrame, sample: str = "sample_id") -> list[str]:
     return [c for c in columns if filled[c]]
 
 
+def _struct_list(rows: Sequence[Sequence[int]], names: Sequence[str]) -> Column:
+    """Literal array of integer structs, as one expression however long it is."""
+    parts = (", ".join(f"'{n}', {v}" for n, v in zip(names, row)) for row in rows)
+    return F.expr("array(" + ", ".join(f"named_struct({p})" for p in parts) + ")")
+
+
 def _missing_counts(wide: DataFrame, metrics: Sequence[str]) -> dict[tuple[str, str], int]:
-    """For each ordered pair, rows that have the first metric but not the second."""
-    pairs = [(a, b) for a in metrics for b in metrics if a != b]
-    row = wide.agg(
-        *[
-            F.count_if(F.col(a).isNotNull() & F.col(b).isNull()).alias(f"c{i}")
-            for i, (a, b) in enumerate(pairs)
-        ]
-    ).first()
-    return {pair: row[i] for i, pair in enumerate(pairs)}
+    """For each ordered pair, rows that have the first metric but not the second.
+
+    Index pairs are spread over the presence flags of a row and counted; at most one
+    row per pair of columns comes back.
+    """
+    n = len(metrics)
+    ordered = _struct_list([(a, b) for a in range(n) for b in range(n) if a != b], ("a", "b"))
+    flags = wide.select(F.array(*[F.col(m).isNotNull() for m in metrics]).alias("has"))
+    apart = flags.filter(F.exists("has", lambda h: ~h)).select("has", F.inline(ordered)).filter(
+        F.get("has", F.col("a")) & ~F.get("has", F.col("b"))
+    )
+    counted = {(r["a"], r["b"]): r["n"] for r in apart.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {
+        (metrics[a], metrics[b]): counted.get((a, b), 0) for a in range(n) for b in range(n) if a != b
+    }
 
 
 def spearman_pairs(wide: DataFrame, metrics: Sequence[str] | None = None, sample: str = "sample_id") -> DataFrame:
@@ -78,9 +91,12 @@ def spearman_pairs(wide: DataFrame, metrics: Sequence[str] | None = None, sample
 
     A pair needs three samples and two distinct values on each side. Each metric is
     ranked once; where a partner is missing in some samples it is ranked once more for
-    all partners missing in the same samples. The pairs are then sums of one aggregation
-    over the sample rows, so no pair rows are produced before it.
+    all partners missing in the same samples. The sums of a pair are then taken over
+    the samples' rank lists and combined inside each task, so the shuffle carries one
+    row per pair and task, and the plan does not grow with the number of metrics. The
+    sample table is read several times and is written to the shared folder first.
     """
+    wide = cut_lineage(wide)
     metrics = list(metrics or numeric_metrics(wide, sample))
     missing = _missing_counts(wide, metrics)
     family: dict[str, str] = {}
@@ -90,67 +106,53 @@ def spearman_pairs(wide: DataFrame, metrics: Sequence[str] | None = None, sample
 
     rankings: dict[tuple[str, str], int] = {}
 
-    def ranking(metric: str, partner: str) -> str:
+    def ranking(metric: str, partner: str) -> int:
         need = metric if missing[(metric, partner)] == 0 else family[partner]
-        return f"r{rankings.setdefault((metric, need), len(rankings))}"
+        return rankings.setdefault((metric, need), len(rankings))
 
-    pairs = [(a, b, ranking(a, b), ranking(b, a)) for a, b in combinations(metrics, 2)]
-    cells = [
-        F.struct(
-            F.lit(number).alias("ranking"),
-            F.when(F.col(need).isNotNull(), F.col(metric).cast("double")).alias("value"),
-        )
-        for (metric, need), number in rankings.items()
-    ]
-    long = wide.select(sample, F.inline(F.array(*cells))).filter("value is not null and not isnan(value)")
+    number = {m: i for i, m in enumerate(metrics)}
+    pairs = [(number[a], number[b], ranking(a, b), ranking(b, a)) for a, b in combinations(metrics, 2)]
+    cells = ", ".join(
+        f"named_struct('ranking', {n}, 'value', if(`{need}` is not null, cast(`{metric}` as double), null))"
+        for (metric, need), n in rankings.items()
+    )
+    long = wide.select(sample, F.expr(f"inline(array({cells}))")).filter("value is not null and not isnan(value)")
     ranked = average_rank(long, ["ranking"], "value")
-    rows = ranked.groupBy(sample).agg(
-        *[F.max(F.when(F.col("ranking") == n, F.col("rank"))).alias(f"r{n}") for n in rankings.values()]
+    # One entry per ranking, so the list of a sample is as long as the table is wide.
+    lists = ranked.groupBy(sample).agg(F.map_from_entries(F.collect_list(F.struct("ranking", "rank"))).alias("ranks"))
+    both = lists.select("ranks", F.inline(_struct_list(pairs, ("a", "b", "i", "j")))).select(
+        "a", "b", F.try_element_at("ranks", F.col("i")).alias("x"), F.try_element_at("ranks", F.col("j")).alias("y")
     )
-    sums = []
-    for i, (_, _, x, y) in enumerate(pairs):
-        both = F.col(x).isNotNull() & F.col(y).isNotNull()
-        vx, vy = F.when(both, F.col(x)), F.when(both, F.col(y))
-        sums.append(
-            F.struct(
-                F.count_if(both).alias("n"),
-                F.sum(vx).alias("sx"),
-                F.sum(vy).alias("sy"),
-                F.sum(vx * vx).alias("sxx"),
-                F.sum(vy * vy).alias("syy"),
-                F.sum(vx * vy).alias("sxy"),
-            ).alias(f"p{i}")
-        )
-    totals = rows.agg(*sums)
-    stacked = totals.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(a).alias("metric_x"),
-                        F.lit(b).alias("metric_y"),
-                        F.lit(i).alias("pair_order"),
-                        F.col(f"p{i}").alias("s"),
-                    )
-                    for i, (a, b, _, _) in enumerate(pairs)
-                ]
-            )
+    sums = (
+        both.filter("x is not null and y is not null")
+        .groupBy("a", "b")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("x").alias("sx"),
+            F.sum("y").alias("sy"),
+            F.sum(F.col("x") * F.col("x")).alias("sxx"),
+            F.sum(F.col("y") * F.col("y")).alias("syy"),
+            F.sum(F.col("x") * F.col("y")).alias("sxy"),
         )
+        .withColumn("vx", F.expr("n * sxx - sx * sx"))
+        .withColumn("vy", F.expr("n * syy - sy * sy"))
+        .filter("n >= 3 and vx > 0 and vy > 0")
     )
-    n, spread_x, spread_y = F.col("s.n"), *[
-        F.col("s.n") * F.col(f"s.s{v}{v}") - F.col(f"s.s{v}") * F.col(f"s.s{v}") for v in "xy"
-    ]
-    rho = (n * F.col("s.sxy") - F.col("s.sx") * F.col("s.sy")) / F.sqrt(spread_x * spread_y)
-    tested = stacked.filter((n >= 3) & (spread_x > 0) & (spread_y > 0))
-    return tested.select(
-        "metric_x", "metric_y", "pair_order", n.alias("n_samples"), F.least(F.lit(1.0), F.greatest(F.lit(-1.0), rho)).alias("spearman_rho")
+    names = F.array(*[F.lit(m) for m in metrics])
+    rho = F.expr("least(1.0D, greatest(-1.0D, (n * sxy - sx * sy) / sqrt(vx * vy)))")
+    return sums.select(
+        F.get(names, F.col("a")).alias("metric_x"),
+        F.get(names, F.col("b")).alias("metric_y"),
+        (F.col("a") * len(metrics) + F.col("b")).alias("pair_order"),
+        F.col("n").alias("n_samples"),
+        rho.alias("spearman_rho"),
     )
 
 
 def spearman_tests(pairs: DataFrame) -> DataFrame:
     """Add two-sided p-values and their Benjamini-Hochberg adjustment."""
     tested = pairs.withColumn("p_value", rank_correlation_p_udf("spearman_rho", F.col("n_samples").cast("double")))
-    return bh_adjust(tested, "p_value")
+    return bh_adjust(cut_lineage(tested), "p_value")
 
 
 def correlation_matrix(pairs: DataFrame, metrics: Sequence[str]) -> DataFrame:

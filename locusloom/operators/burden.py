@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from locusloom.functions.tails import hypergeometric_upper_udf
 from locusloom.functions.text import INTEGRATION_SUFFIXES, first_alt, normalize_sample_id
 from locusloom.operators.ordered import bh_adjust
+from locusloom.session import cut_lineage
 
 LOCUS = ["chrom", "pos", "ref", "alt"]
 GENE = ["gene_id", "gene_name"]
@@ -92,4 +93,4 @@ def pathway_enrichment(hits: DataFrame, gene_sets: DataFrame, universe: DataFram
         "n_hits", drawn.agg(F.count(F.lit(1))).scalar()
     )
     tested = sized.withColumn("p_value", hypergeometric_upper_udf("overlap", "universe", "set_size", "n_hits"))
-    return bh_adjust(tested, "p_value")
+    return bh_adjust(cut_lineage(tested), "p_value")

@@ -14,7 +14,6 @@ from locusloom.functions.text import (
     info_value,
     normalize_sample_id,
 )
-from locusloom.operators.ordered import ordered_scan
 from locusloom.sources.lines import number_lines, read_lines
 
 # The columns of a VCF record and of a GTF row, in file order.
@@ -63,7 +62,7 @@ def info_numbers(keys: Sequence[str], info: str = "info") -> Mapping[str, Column
 
 def _attribute(key: str) -> Column:
     """Last value of a GTF attribute, quotes removed."""
-    items = F.transform(F.split("attributes", ";"), F.trim)
+    items = F.transform(F.split("attributes", ";"), lambda item: F.trim(item))
     hits = F.filter(items, lambda item: F.startswith(item, F.lit(key + " ")))
     value = F.trim(F.substring(F.get(hits, F.size(hits) - 1), len(key) + 2, 2**31 - 1))
     return F.regexp_replace(value, '^"+|"+$', "")
@@ -108,12 +107,8 @@ def read_gene_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_contigs(spark: SparkSession, path: str) -> DataFrame:
-    """Contigs of a FASTA index with offset and genome length."""
+    """Contigs and lengths of a FASTA index, with their line numbers."""
     lines = number_lines(read_lines(spark, path)).withColumn("_p", F.split("value", "\t")).filter(F.size("_p") >= 2)
-    contigs = lines.select(
+    return lines.select(
         F.get("_p", F.lit(0)).alias("contig"), F.get("_p", F.lit(1)).cast("long").alias("length"), "line_no"
     )
-    scanned = ordered_scan(contigs, [], "line_no", {"_len": F.col("length")})
-    return scanned.select(
-        "contig", "length", F.col("_len_before").alias("offset"), F.col("_len_all").alias("total")
-    )
