@@ -711,3 +711,32 @@ oracle(
      from listed""",
     LISTED,
 )
+# The streams read all input at once, so their final state is the batch result.
+ORACLES["stream_stage_status"] = ORACLES["stage_status"]
+# A window is final once the watermark (latest event time less ten minutes) has passed its end.
+oracle(
+    "stream_event_windows",
+    E,
+    """select window_start, window_start + interval 1 hour as window_end, type, n
+     from (select date_trunc('hour', ts) as window_start, type, count(*) as n from fx_stage_events group by 1, 2) q
+     where window_start + interval 1 hour <= (select max(ts) - interval 10 minute from fx_stage_events)""",
+)
+# A start is overdue when the stage's next start, finish or error comes after its limit, or never does
+# and the watermark has passed the limit.
+oracle(
+    "stream_overdue_alerts",
+    E,
+    """select stage, make_timestamp(s * 1000) as start_ts, lim / 1000 as threshold_seconds, make_timestamp((s + lim) * 1000) as alert_ts from (
+       select stage, type, epoch_us(ts) // 1000 as s, cast(greatest(2 * estimate_seconds, 1800) * 1000 as bigint) as lim,
+         lead(epoch_us(ts) // 1000) over (partition by stage order by ts, event_id) as nxt,
+         lead(type) over (partition by stage order by ts, event_id) as nxt_type,
+         (select epoch_us(max(ts)) // 1000 from fx_stage_events where type in ('start', 'finish', 'error')) - 600000 as mark
+       from fx_stage_events where type in ('start', 'finish', 'error')) q
+     where type = 'start' and (nxt > s + lim or (nxt is null and mark > s + lim))""",
+)
+oracle(
+    "stream_cohort_counts",
+    V,
+    """select chrom, pos, ref, alt, count(distinct sample_id) as cohort_count, round(max(af), 6) as max_af from fx_variants
+     group by 1, 2, 3, 4 having count(distinct sample_id) >= 4 and max(af) >= 0.05""",
+)

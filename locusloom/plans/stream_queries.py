@@ -1,0 +1,62 @@
+"""Registered queries that run the streams over the driver tables until all input is read."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from locusloom.operators import cohort
+from locusloom.plans.queries import plain_time, query, rounded
+from locusloom.plans.views import VIEWS
+from locusloom.session import shared_folder
+from locusloom.streaming import runs
+
+
+def _folder(spark, name):
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _stream(spark, sf, table):
+    schema = spark.read.parquet(f"{sf}/{table}.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf)
+
+
+def _stage_events(spark, sf):
+    # The watermark needs a time stamp with a time zone.
+    events = _stream(spark, sf, "events")
+    return spark.sql(VIEWS["fx_stage_events"], events=events).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query
+def stream_stage_status(spark, sf):
+    rows = runs.current_stage_state(_stage_events(spark, sf), "event_id", "estimate_seconds")
+    name = f"stage_state_{uuid.uuid4().hex}"
+    table = runs.state_table(rows, name, _folder(spark, "state"))
+    table = plain_time(table, "last_start_ts", "last_end_ts", "last_error_ts")
+    return rounded(table, "last_duration", "last_estimate_error", digits=3)
+
+
+@query
+def stream_event_windows(spark, sf):
+    target = _folder(spark, "windows")
+    windows = runs.event_windows(_stage_events(spark, sf), "1 hour", "10 minutes")
+    runs.append_stream(windows, target, target + "-checkpoint")
+    return plain_time(spark.read.schema(windows.schema).parquet(target), "window_start", "window_end")
+
+
+@query
+def stream_overdue_alerts(spark, sf):
+    target = _folder(spark, "alerts")
+    events = _stage_events(spark, sf).withColumnRenamed("event_id", "event_order")
+    alerts = runs.overdue_alerts(events)
+    runs.append_stream(alerts, target, target + "-checkpoint")
+    return plain_time(spark.read.schema(alerts.schema).parquet(target), "start_ts", "alert_ts")
+
+
+@query
+def stream_cohort_counts(spark, sf):
+    target = _folder(spark, "carriers")
+    records = spark.sql(VIEWS["fx_variants"], lineitem=_stream(spark, sf, "lineitem"))
+    calls = runs.collect_carriers(records, target, target + "-checkpoint", F.col("af"))
+    return rounded(cohort.cohort_loci(calls), "max_af")

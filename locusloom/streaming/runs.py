@@ -11,7 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from locusloom.operators.runlog import resolve_stage_state, stage_state_aggregates
 
-ALERT_SCHEMA = "stage string, start_ts timestamp, threshold_seconds double, alert_ts timestamp"
+ALERT_SCHEMA = "stage string, start_ms long, limit_ms long"
 
 
 def current_stage_state(events: DataFrame, order: str, estimate: str | None = None) -> DataFrame:
@@ -29,59 +29,64 @@ def event_windows(events: DataFrame, width: str = "1 hour", delay: str = "10 min
 
 
 def _watch(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Emit one alert when a started stage has neither finished nor failed in time."""
-    (stage,) = key
-    start_ms, limit_ms = state.get if state.exists else (None, None)
-    alerts = []
-
-    def overdue() -> None:
-        alerts.append((stage, start_ms, limit_ms))
+    """Emit one alert when a started stage has neither finished nor failed in time.
 
+    State is the start and limit of the open run, in milliseconds.
+    """
+    start, limit = state.get if state.exists else (None, None)
+    alerts = []
     if state.hasTimedOut:
-        overdue()
+        alerts.append((key[0], start, limit))
         state.remove()
     else:
-        rows = pd.concat(list(batches)).sort_values(["ts", "event_order"])
+        rows = pd.concat(list(batches)).sort_values(["at_ms", "event_order"])
         for row in rows.itertuples(index=False):
-            at = int(row.ts.timestamp() * 1000)
-            if start_ms is not None and at > start_ms + limit_ms:
-                overdue()
-                start_ms = None
+            if start is not None and row.at_ms > start + limit:
+                alerts.append((key[0], start, limit))
+                start = None
             if row.type == "start":
-                start_ms, limit_ms = at, int(max(2.0 * float(row.estimate_seconds), 1800.0) * 1000)
-            elif row.type in ("finish", "error"):
-                start_ms = None
-        if start_ms is None:
+                start, limit = row.at_ms, int(max(2.0 * row.estimate_seconds, 1800.0) * 1000)
+            else:
+                start = None
+        if start is None:
             if state.exists:
                 state.remove()
         else:
-            state.update((start_ms, limit_ms))
+            state.update((start, limit))
             # A timer must lie behind the watermark; one already passed fires on the next batch.
-            state.setTimeoutTimestamp(max(start_ms + limit_ms, state.getCurrentWatermarkMs() + 1))
-    yield pd.DataFrame(
-        {
-            "stage": [a[0] for a in alerts],
-            "start_ts": pd.to_datetime([a[1] for a in alerts], unit="ms"),
-            "threshold_seconds": [a[2] / 1000.0 for a in alerts],
-            "alert_ts": pd.to_datetime([a[1] + a[2] for a in alerts], unit="ms"),
-        }
-    )
+            state.setTimeoutTimestamp(max(start + limit, state.getCurrentWatermarkMs() + 1))
+    if alerts:
+        yield pd.DataFrame(alerts, columns=["stage", "start_ms", "limit_ms"])
 
 
 def overdue_alerts(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Alert once per stage start that runs over max(2 x estimate, 1800 s) of event time.
 
-    Input columns: ``stage, type, ts, event_order, estimate_seconds``.
+    Input columns: ``stage, type, ts, event_order, estimate_seconds``. The events of a
+    stage are handled in time order within a batch; the source's ``maxFilesPerTrigger``
+    bounds a batch.
     """
-    needed = events.select("stage", "type", "ts", "event_order", F.col("estimate_seconds").cast("double"))
-    marks = needed.filter(F.col("type").isin("start", "finish", "error"))
-    return (
+    marks = events.filter(F.col("type").isin("start", "finish", "error")).select(
+        "stage",
+        "type",
+        "ts",
+        "event_order",
+        F.col("estimate_seconds").cast("double").alias("estimate_seconds"),
+        F.unix_millis("ts").alias("at_ms"),
+    )
+    alerts = (
         marks.withWatermark("ts", delay)
         .groupBy("stage")
         .applyInPandasWithState(
             _watch, ALERT_SCHEMA, "start_ms long, limit_ms long", "append", GroupStateTimeout.EventTimeTimeout
         )
     )
+    return alerts.select(
+        "stage",
+        F.timestamp_millis("start_ms").alias("start_ts"),
+        (F.col("limit_ms") / 1000).alias("threshold_seconds"),
+        F.timestamp_millis(F.col("start_ms") + F.col("limit_ms")).alias("alert_ts"),
+    )
 
 
 def append_stream(df: DataFrame, table: str, checkpoint: str) -> None:
