@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusloom.functions.text import barcode_core, fixed_text
@@ -166,10 +166,8 @@ def merge_barcode_reads(r2: DataFrame, r3: DataFrame) -> DataFrame:
 def first_file_cells(lines: DataFrame) -> DataFrame:
     """Detected cells per sample: lines of its first barcode file ``(sample_id, file_path)``."""
     counted = lines.groupBy("sample_id", "file_path").agg(F.count(F.lit(1)).alias("starsolo_detected_cells"))
-    packed = F.when(F.endswith("file_path", F.lit(".gz")), 1).otherwise(0)
-    first = Window.partitionBy("sample_id").orderBy(packed, "file_path")
-    return (
-        counted.withColumn("_n", F.row_number().over(first))
-        .filter("_n = 1")
-        .select("sample_id", "starsolo_detected_cells")
+    packed = F.when(F.endswith("file_path", F.lit(".gz")), 1).otherwise(0).alias("_packed")
+    first = counted.groupBy("sample_id").agg(
+        F.min(F.struct(packed, "file_path", "starsolo_detected_cells")).alias("_f")
     )
+    return first.select("sample_id", "_f.starsolo_detected_cells")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusloom.functions.text import BURDEN_SUFFIXES, INTEGRATION_SUFFIXES, cohort_info, file_name, normalize_sample_id
@@ -143,8 +143,8 @@ def best_file_per_sample(
         F.col(path).alias("path"),
         pattern_rank(F.col(path), patterns).alias("rank"),
     ).filter(F.col("rank").isNotNull())
-    best = Window.partitionBy("sample_id").orderBy("rank", "path")
-    return ranked.withColumn("_n", F.row_number().over(best)).filter("_n = 1").drop("_n")
+    best = ranked.groupBy("sample_id").agg(F.min(F.struct("rank", "path")).alias("_b"))
+    return best.select("sample_id", "_b.path", "_b.rank")
 
 
 def best_burden_file(files: DataFrame, path: str = "path") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locusloom.functions.text import file_name
@@ -54,6 +54,6 @@ def input_overview(flags: DataFrame) -> DataFrame:
 def read_path(files: DataFrame) -> DataFrame:
     """One path per sample and read: the best ending, then the first path."""
     rank = F.coalesce(*[F.when(F.endswith("path", F.lit(e)), F.lit(i)) for i, e in enumerate(READ_ENDINGS)])
-    best = Window.partitionBy("sample_id", "read").orderBy("_rank", "path")
-    ranked = files.withColumn("_rank", rank).filter("_rank is not null").withColumn("_n", F.row_number().over(best))
-    return ranked.filter("_n = 1").select("sample_id", "read", "path")
+    ranked = files.withColumn("_rank", rank).filter("_rank is not null")
+    best = ranked.groupBy("sample_id", "read").agg(F.min(F.struct("_rank", "path")).alias("_b"))
+    return best.select("sample_id", "read", "_b.path")

@@ -1,37 +1,52 @@
 """Prefix sums, ranks, medians and hashed order over groups of any size.
 
-A window over a whole group runs in one task. Here each group is first cut into
-ranges of its order column; windows run inside a range, one row per range carries
-the totals across ranges, and both parts are added. The cuts are a sample of the
-distinct values (one per hash class), so a value repeated many times is one cut at most.
+A window over a whole group runs in one task. Here the order column is first cut into
+ranges; windows run inside a (group, range), one row per (group, range) carries the
+totals across ranges, and both parts are added. The cuts are a sample of the distinct
+values over all groups (one per hash class), so each range holds about the same number
+of distinct values, whichever groups they belong to, and a value repeated many times is
+one cut at most. The number of ranges follows the session's shuffle partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+STEP = 64
 
 
-def _range_cuts(df: DataFrame, keys: Sequence[str], order: str, ranges: int) -> DataFrame:
-    picked = df.groupBy(*keys, F.pmod(F.xxhash64(F.col(order)), F.lit(ranges)).alias("_class")).agg(
-        F.min_by(order, F.xxhash64(F.col(order), F.lit(7))).alias("_cut")
+def _range_count(spark: SparkSession) -> int:
+    """Four ranges per shuffle partition, at least one step."""
+    wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return STEP * min(STEP, max(1, -(-wanted // STEP)))
+
+
+def with_range(df: DataFrame, order: str) -> DataFrame:
+    """Add ``_range``: the number of sampled cuts below the row's order value.
+
+    With more than one step of cuts, every 64th is looked at first, then the 64 after it.
+    """
+    ranges = _range_count(df.sparkSession)
+    value = F.col(order)
+    picked = df.groupBy(F.pmod(F.xxhash64(value), F.lit(ranges)).alias("_class")).agg(
+        F.min_by(value, F.xxhash64(value, F.lit(7))).alias("_cut")
     )
-    return picked.groupBy(*keys).agg(F.array_sort(F.collect_list("_cut")).alias("_cuts"))
+    # One row with at most ``ranges`` values.
+    cuts = picked.agg(F.array_sort(F.collect_list("_cut")).alias("_cuts"))
 
+    def below(array):
+        return F.size(F.filter(array, lambda c: c < value))
 
-def with_range(df: DataFrame, keys: Sequence[str], order: str, ranges: int = RANGES) -> DataFrame:
-    """Add ``_range``: the number of sampled cuts below the row's order value."""
-    cuts = _range_cuts(df, keys, order, ranges)
-    if keys:
-        placed = df.join(cuts, list(keys))
-    else:
-        placed = df.withColumn("_cuts", cuts.scalar())
-    below = F.filter("_cuts", lambda c: c < F.col(order))
-    return placed.withColumn("_range", F.size(below)).drop("_cuts")
+    placed = df.withColumn("_cuts", cuts.scalar())
+    if ranges <= STEP:
+        return placed.withColumn("_range", below("_cuts")).drop("_cuts")
+    coarse = cuts.select(F.filter("_cuts", lambda c, i: i % STEP == STEP - 1)).scalar()
+    placed = placed.withColumn("_coarse", coarse).withColumn("_block", below("_coarse"))
+    fine = F.slice("_cuts", F.col("_block") * STEP + 1, F.lit(STEP))
+    return placed.withColumn("_range", F.col("_block") * STEP + below(fine)).drop("_cuts", "_coarse", "_block")
 
 
 def ordered_scan(
@@ -40,7 +55,6 @@ def ordered_scan(
     order: str,
     sums: Mapping[str, Column] | None = None,
     maxes: Mapping[str, Column] | None = None,
-    ranges: int = RANGES,
 ) -> DataFrame:
     """For every row, ``<name>_before`` over the rows of its group with a smaller order.
 
@@ -49,7 +63,7 @@ def ordered_scan(
     """
     sums, maxes = dict(sums or {}), dict(maxes or {})
     keys = list(keys)
-    placed = with_range(df.filter(F.col(order).isNotNull()), keys, order, ranges)
+    placed = with_range(df.filter(F.col(order).isNotNull()), order)
     totals = placed.groupBy(*keys, "_range").agg(
         *[F.sum(c).alias(f"_s_{n}") for n, c in sums.items()],
         *[F.max(c).alias(f"_m_{n}") for n, c in maxes.items()],
@@ -79,9 +93,7 @@ def ordered_scan(
     )
 
 
-def value_totals(
-    df: DataFrame, keys: Sequence[str], value: str, sums: Mapping[str, Column], ranges: int = RANGES
-) -> DataFrame:
+def value_totals(df: DataFrame, keys: Sequence[str], value: str, sums: Mapping[str, Column]) -> DataFrame:
     """One row per distinct value of a group with its sums, ``_before`` and ``_all`` totals.
 
     Equal values are combined before anything is ordered, so ties cost one row.
@@ -89,7 +101,7 @@ def value_totals(
     distinct = (
         df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(*[c.alias(n) for n, c in sums.items()])
     )
-    return ordered_scan(distinct, keys, value, {n: F.col(n) for n in sums}, ranges=ranges)
+    return ordered_scan(distinct, keys, value, {n: F.col(n) for n in sums})
 
 
 def average_rank(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank") -> DataFrame:
@@ -140,9 +152,10 @@ def bh_adjust(df: DataFrame, p: str, keys: Sequence[str] = (), name: str = "fdr_
 def digest_rank(df: DataFrame, keys: Sequence[str], digest: str, name: str = "rank") -> DataFrame:
     """Number rows 1.. per group in the order of a hex digest.
 
-    Digests are uniform, so their first two characters cut a group into 256 even parts.
+    Digests are uniform, so their first characters cut a group into 256 or 4096 even parts.
     """
-    placed = df.withColumn("_slot", F.substring(digest, 1, 2))
+    width = 2 if int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) <= 64 else 3
+    placed = df.withColumn("_slot", F.substring(digest, 1, width))
     counts = placed.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_n"))
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     earlier = group.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)

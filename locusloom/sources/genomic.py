@@ -14,6 +14,9 @@ from locusloom.functions.text import (
     info_value,
     normalize_sample_id,
 )
+from locusloom.operators.checks import require_rows
+from locusloom.operators.intervals import gene_intervals
+from locusloom.session import cut_lineage
 from locusloom.sources.lines import number_lines, read_lines
 
 # The columns of a VCF record and of a GTF row, in file order.
@@ -91,6 +94,11 @@ def read_gtf(spark: SparkSession, path: str) -> DataFrame:
     return gtf_features(read_lines(spark, path))
 
 
+def read_genes(spark: SparkSession, path: str) -> DataFrame:
+    """Gene intervals of a GTF, written once: far smaller than the file, so joins see their real size."""
+    return cut_lineage(require_rows(gene_intervals(read_gtf(spark, path)), f"no gene intervals in {path}"))
+
+
 def read_gene_sets(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """``(term, description, gene)`` of GMT files."""
     parts = F.split("value", "\t")
