@@ -34,19 +34,20 @@ def with_range(df: DataFrame, order: str) -> DataFrame:
     picked = df.groupBy(F.pmod(F.xxhash64(value), F.lit(ranges)).alias("_class")).agg(
         F.min_by(value, F.xxhash64(value, F.lit(7))).alias("_cut")
     )
-    # One row with at most ``ranges`` values.
-    cuts = picked.agg(F.array_sort(F.collect_list("_cut")).alias("_cuts"))
+    # One row with at most ``ranges`` values, and every 64th of them.
+    cuts = picked.agg(F.array_sort(F.collect_list("_cut")).alias("fine"))
+    coarse = F.filter("fine", lambda c, i: i % STEP == STEP - 1).alias("coarse")
+    placed = df.withColumn("_cuts", cuts.select(F.struct("fine", coarse)).scalar())
 
     def below(array):
         return F.size(F.filter(array, lambda c: c < value))
 
-    placed = df.withColumn("_cuts", cuts.scalar())
     if ranges <= STEP:
-        return placed.withColumn("_range", below("_cuts")).drop("_cuts")
-    coarse = cuts.select(F.filter("_cuts", lambda c, i: i % STEP == STEP - 1)).scalar()
-    placed = placed.withColumn("_coarse", coarse).withColumn("_block", below("_coarse"))
-    fine = F.slice("_cuts", F.col("_block") * STEP + 1, F.lit(STEP))
-    return placed.withColumn("_range", F.col("_block") * STEP + below(fine)).drop("_cuts", "_coarse", "_block")
+        return placed.withColumn("_range", below("_cuts.fine")).drop("_cuts")
+    block = below("_cuts.coarse")
+    fine = F.slice("_cuts.fine", F.col("_block") * STEP + 1, F.lit(STEP))
+    placed = placed.withColumn("_block", block).withColumn("_range", F.col("_block") * STEP + below(fine))
+    return placed.drop("_cuts", "_block")
 
 
 def ordered_scan(
