@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,14 +35,22 @@ INTEGRATION_SUFFIXES = [
 ALIGNER_MARK = "Aligned.sortedByCoord.out"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def file_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+    return F.substring_index(path, "/", -1)
 
 
 def normalize_sample_id(name: Column, suffixes: Sequence[str] = INTEGRATION_SUFFIXES) -> Column:
-    """Drop the longest known suffix, then every aligner mark."""
-    ending = "(?:" + "|".join(re.escape(s) for s in suffixes) + ")$"
-    return F.replace(F.regexp_replace(name, ending, ""), F.lit(ALIGNER_MARK), F.lit(""))
+    """Drop the first of the listed suffixes that fits, then every aligner mark."""
+    short = F.coalesce(
+        *[F.when(F.endswith(name, F.lit(s)), F.substring(name, F.lit(1), F.length(name) - len(s))) for s in suffixes],
+        name,
+    )
+    return F.replace(short, F.lit(ALIGNER_MARK), F.lit(""))
 
 
 def first_alt(alt: Column) -> Column:
@@ -57,16 +64,26 @@ def variant_key(chrom: Column, pos: Column, ref: Column, alt: Column) -> Column:
 
 def format_value(fmt: Column, sample: Column, key: str) -> Column:
     """Value of a FORMAT key in a sample column; the last of repeated keys, NULL when absent."""
-    keys, values = F.split(fmt, ":"), F.split(sample, ":")
-    n = F.least(F.size(keys), F.size(values))
-    from_end = F.array_position(F.reverse(F.slice(keys, F.lit(1), n)), key)
-    return F.when(from_end > 0, F.get(values, (n - from_end).cast("int")))
+
+    def pick(keys, values, n):
+        from_end = F.array_position(F.reverse(F.slice(keys, F.lit(1), n)), key)
+        return let(from_end, lambda p: F.when(p > 0, F.get(values, (n - p).cast("int"))))
+
+    return let(
+        F.split(fmt, ":"),
+        lambda keys: let(
+            F.split(sample, ":"),
+            lambda values: let(F.least(F.size(keys), F.size(values)), lambda n: pick(keys, values, n)),
+        ),
+    )
 
 
 def info_value(info: Column, key: str) -> Column:
     """Value of ``key=value`` in an INFO column; the last of repeated keys, NULL when absent."""
-    hits = F.filter(F.split(info, ";"), lambda kv: F.startswith(kv, F.lit(key + "=")))
-    return F.substring(F.get(hits, F.size(hits) - 1), len(key) + 2, 2**31 - 1)
+    mark, padded = f";{key}=", F.concat(F.lit(";"), info)
+    return F.when(
+        F.contains(padded, F.lit(mark)), F.substring_index(F.substring_index(padded, mark, -1), ";", 1)
+    )
 
 
 def _number(text: Column) -> Column:
@@ -78,15 +95,18 @@ def allele_fraction(fmt: Column, sample: Column, missing_af: float = 1.0) -> Col
 
     Unreadable numbers fall through to the next rule; an AF of NaN becomes NULL.
     """
-    af = _number(F.substring_index(format_value(fmt, sample, "AF"), ",", 1))
-    depths = F.split(format_value(fmt, sample, "AD"), ",")
-    ref_n, alt_n = _number(F.get(depths, F.lit(0))), _number(F.get(depths, F.lit(1)))
-    total = ref_n + alt_n
-    return (
-        F.when(af.isNotNull(), F.when(~F.isnan(af), af))
-        .when((total > 0) & ~F.isnan(total), alt_n / total)
-        .otherwise(F.lit(missing_af))
-    )
+    stated = _number(F.substring_index(format_value(fmt, sample, "AF"), ",", 1))
+
+    def share(depths):
+        ref_n, alt_n = _number(F.get(depths, F.lit(0))), _number(F.get(depths, F.lit(1)))
+        total = ref_n + alt_n
+        return F.when((total > 0) & ~F.isnan(total), alt_n / total).otherwise(F.lit(missing_af))
+
+    def choose(af):
+        from_depths = let(F.split(format_value(fmt, sample, "AD"), ","), share)
+        return F.when(af.isNotNull(), F.when(~F.isnan(af), af)).otherwise(from_depths)
+
+    return let(stated, choose)
 
 
 def fixed_text(value: Column, digits: int) -> Column:
@@ -114,9 +134,8 @@ def cohort_info(info: Column, count: Column, max_af: Column) -> Column:
 
 def barcode_core(cell_id: Column) -> Column:
     """First run of 16 or more bases, else the text before the first ``-`` and ``_``."""
-    run = F.regexp_extract(cell_id, "([ACGT]{16,})", 1)
-    plain = F.substring_index(F.substring_index(cell_id, "-", 1), "_", 1)
-    return F.when(run != "", run).otherwise(plain)
+    run = F.regexp_substr(cell_id, F.lit("[ACGT]{16,}"))
+    return F.coalesce(run, F.substring_index(F.substring_index(cell_id, "-", 1), "_", 1))
 
 
 def variant_class(ref: Column, alt1: Column) -> Column:

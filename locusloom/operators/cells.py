@@ -13,10 +13,11 @@ LOCUS = ["chrom", "pos", "ref", "alt"]
 def cell_allele_counts(observed: DataFrame, sites: DataFrame) -> DataFrame:
     """AD and DP per cell and site from observed bases ``(sample_id, barcode, chrom, pos, base)``.
 
-    Bases are counted per cell and position before sites are attached, so deep
-    positions reach the join as at most a handful of rows per cell.
+    Barcodes are reduced to their bare form. Bases are counted per cell and position before
+    sites are attached, so deep positions reach the join as at most a handful of rows per cell.
     """
-    counted = observed.groupBy("sample_id", "barcode", "chrom", "pos", "base").agg(F.count(F.lit(1)).alias("_n"))
+    bare = observed.withColumn("barcode", barcode_core(F.col("barcode")))
+    counted = bare.groupBy("sample_id", "barcode", "chrom", "pos", "base").agg(F.count(F.lit(1)).alias("_n"))
     placed = counted.join(sites.select(*LOCUS).distinct(), ["chrom", "pos"])
     base = F.col("base")
     return placed.groupBy("sample_id", "barcode", *LOCUS).agg(
@@ -42,11 +43,11 @@ def cluster_lookup(cell_map: DataFrame, order: str | None = None) -> DataFrame:
 def cluster_allele_sums(cells: DataFrame, clusters: DataFrame, min_alt: int = 3) -> DataFrame:
     """Σ AD and Σ DP per variant and cluster with VAF; unmapped cells are dropped.
 
-    Both sides are compared on the bare barcode.
+    Both sides carry bare barcodes, as ``cell_allele_counts``, ``matrix_cells`` and
+    ``cluster_lookup`` make them.
     """
-    keyed = cells.withColumn("barcode", barcode_core(F.col("barcode")))
     sums = (
-        keyed.join(clusters.select("sample_id", "barcode", "cluster"), ["sample_id", "barcode"])
+        cells.join(clusters.select("sample_id", "barcode", "cluster"), ["sample_id", "barcode"])
         .groupBy("sample_id", *LOCUS, "cluster")
         .agg(F.sum("ad").alias("alt_sum"), F.sum("dp").alias("depth_sum"))
     )
@@ -112,11 +113,12 @@ def matrix_shape_violations(ad_shape: DataFrame, dp_shape: DataFrame, variants:
 
 
 def matrix_cells(aligned: DataFrame, variants: DataFrame, barcodes: DataFrame) -> DataFrame:
-    """Replace matrix positions by variant and barcode; both lists carry ``idx`` from 1."""
+    """Replace matrix positions by variant and bare barcode; both lists carry ``idx`` from 1."""
     named = aligned.join(
         variants.select("sample_id", F.col("idx").alias("row_idx"), *LOCUS), ["sample_id", "row_idx"]
     )
-    named = named.join(barcodes.select("sample_id", F.col("idx").alias("col_idx"), "barcode"), ["sample_id", "col_idx"])
+    bare = barcode_core(F.col("barcode")).alias("barcode")
+    named = named.join(barcodes.select("sample_id", F.col("idx").alias("col_idx"), bare), ["sample_id", "col_idx"])
     return named.select("sample_id", "barcode", *LOCUS, "ad", "dp")
 
 

@@ -85,9 +85,7 @@ def lookup(spark, sf):
 
 
 def cell_counts(spark, sf):
-    return cells.cell_allele_counts(
-        view(spark, sf, "fx_observed").withColumn("barcode", barcode_core(F.col("barcode"))), view(spark, sf, "fx_sites")
-    )
+    return cells.cell_allele_counts(view(spark, sf, "fx_observed"), view(spark, sf, "fx_sites"))
 
 
 def cluster_sums(spark, sf):
@@ -161,7 +159,8 @@ def hard_filter_pass(spark, sf):
 
 @query
 def vcf_scan(spark, sf):
-    records = genomic.vcf_records(view(spark, sf, "fx_vcf_lines"), 8)
+    lines = view(spark, sf, "fx_vcf_lines").withColumn("line_order", F.monotonically_increasing_id())
+    records = genomic.vcf_records(lines, 8)
     quality = genomic.info_numbers(["QD", "FS"])
     return records.select(
         "sample_id",
@@ -177,7 +176,8 @@ def vcf_scan(spark, sf):
 
 @query
 def records_per_file(spark, sf):
-    return spectra.records_per_file(genomic.vcf_records(view(spark, sf, "fx_vcf_lines")))
+    lines = view(spark, sf, "fx_vcf_lines").withColumn("line_order", F.monotonically_increasing_id())
+    return spectra.records_per_file(genomic.vcf_records(lines))
 
 
 @query
