@@ -46,11 +46,12 @@ def file_name(path: Column) -> Column:
 
 def normalize_sample_id(name: Column, suffixes: Sequence[str] = INTEGRATION_SUFFIXES) -> Column:
     """Drop the first of the listed suffixes that fits, then every aligner mark."""
-    short = F.coalesce(
-        *[F.when(F.endswith(name, F.lit(s)), F.substring(name, F.lit(1), F.length(name) - len(s))) for s in suffixes],
-        name,
-    )
-    return F.replace(short, F.lit(ALIGNER_MARK), F.lit(""))
+
+    def shorten(n):
+        cut = [F.when(F.endswith(n, F.lit(s)), F.substring(n, F.lit(1), F.length(n) - len(s))) for s in suffixes]
+        return F.coalesce(*cut, n)
+
+    return F.replace(let(name, shorten), F.lit(ALIGNER_MARK), F.lit(""))
 
 
 def first_alt(alt: Column) -> Column:

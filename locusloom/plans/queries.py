@@ -24,6 +24,7 @@ from locusloom.functions.text import (
 from locusloom.operators import association, burden, cells, checks, cohort, folds, intervals, metadata, runlog, scoring, spectra
 from locusloom.operators.ordered import average_rank, bh_adjust, group_median, ordered_scan
 from locusloom.plans.views import view
+from locusloom.session import cut_lineage
 from locusloom.sources import genomic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,10 +158,14 @@ def hard_filter_pass(spark, sf):
     return kept.groupBy("sample_id").agg(F.count(F.lit(1)).alias("passing"))
 
 
+def vcf_lines(spark, sf):
+    """The lines as stored text: otherwise the optimizer repeats their making in every filter."""
+    return cut_lineage(view(spark, sf, "fx_vcf_lines"))
+
+
 @query
 def vcf_scan(spark, sf):
-    lines = view(spark, sf, "fx_vcf_lines").withColumn("line_order", F.monotonically_increasing_id())
-    records = genomic.vcf_records(lines, 8)
+    records = genomic.vcf_records(vcf_lines(spark, sf), 8)
     quality = genomic.info_numbers(["QD", "FS"])
     return records.select(
         "sample_id",
@@ -176,8 +181,7 @@ def vcf_scan(spark, sf):
 
 @query
 def records_per_file(spark, sf):
-    lines = view(spark, sf, "fx_vcf_lines").withColumn("line_order", F.monotonically_increasing_id())
-    return spectra.records_per_file(genomic.vcf_records(lines))
+    return spectra.records_per_file(genomic.vcf_records(vcf_lines(spark, sf)))
 
 
 @query
