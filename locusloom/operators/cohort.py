@@ -54,37 +54,33 @@ def cohort_loci(
     min_vaf: float = 0.05,
     unit: str = "sample_id",
     order: str | None = None,
+    with_first: bool = False,
 ) -> DataFrame:
     """Loci seen in at least ``min_samples`` units with a highest fraction of ``min_vaf`` or more.
 
     The key uses the whole ALT text. The first shuffle is on (locus, unit), so a locus
-    present everywhere is counted from one row per unit.
+    present everywhere is counted from one row per unit. ``with_first`` adds where the
+    locus was seen first: the first unit and the order of its first record there.
     """
-    return (
+    columns = [F.count(F.lit(1)).alias("cohort_count"), F.greatest(F.lit(0.0), F.max("af")).alias("max_af")]
+    if with_first:
+        columns.append(F.min(F.struct(F.col(unit).alias("first_unit"), "first_order")).alias("_first"))
+    loci = (
         carriers(variants, unit, order)
         .groupBy(*LOCUS)
-        .agg(F.count(F.lit(1)).alias("cohort_count"), F.greatest(F.lit(0.0), F.max("af")).alias("max_af"))
+        .agg(*columns)
         .filter((F.col("cohort_count") >= min_samples) & (F.col("max_af") >= min_vaf))
     )
+    return loci.select(*LOCUS, "cohort_count", "max_af", "_first.*") if with_first else loci
 
 
 def first_records(variants: DataFrame, loci: DataFrame, fields: Sequence[str], unit: str, order: str) -> DataFrame:
-    """Add the fields of the first record of each locus, in file order then line order.
+    """Add the fields of the first record of each locus (``loci`` made ``with_first``).
 
-    Only records of loci that passed are looked at.
+    Records are looked up by their place, so nothing but the loci is sorted or grouped.
     """
-    kept = variants.join(loci.select(*LOCUS), LOCUS, "left_semi")
-    first = kept.groupBy(*LOCUS).agg(
-        F.min_by(F.struct(*fields), F.struct(unit, order)).alias("_r"),
-        F.min(F.struct(unit, order)).alias("_k"),
-    )
-    first = first.select(
-        *LOCUS,
-        *[F.col(f"_r.{f}").alias(f) for f in fields],
-        F.col(f"_k.{unit}").alias("first_unit"),
-        F.col(f"_k.{order}").alias("first_order"),
-    )
-    return loci.join(first, LOCUS)
+    placed = variants.select(*LOCUS, F.col(unit).alias("first_unit"), F.col(order).alias("first_order"), *fields)
+    return loci.join(placed, [*LOCUS, "first_unit", "first_order"]).dropDuplicates(LOCUS)
 
 
 def cohort_records(loci: DataFrame) -> DataFrame:

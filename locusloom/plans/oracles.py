@@ -367,7 +367,7 @@ oracle(
     "whitelist_barcodes",
     R,
     """select sample_id, record_idx, substr(seq, 1, 16) as cb from merged
-     where substr(seq, 1, 16) in (select seq from fx_reads where read = 'R2' and record_idx % 10 < 7)""",
+     where substr(seq, 1, 16) in (select seq from fx_reads where read = 'R2' and sample_id < 'S08')""",
     MERGED,
 )
 

@@ -50,7 +50,7 @@ select v.sample_id, c.barcode||'-1' as barcode, v.chrom, v.pos,
   case when v.rec_order % 3 = 0 then v.ref when v.rec_order % 11 = 5 then 'N' else substr(v.alt,1,1) end as base
 from {fx_variants} v join {fx_cells} c on v.sample_id = c.sample_id and v.cell = c.cell""",
     "fx_sites": """
-select distinct chrom, pos, ref, alt from {fx_variants} where length(alt) = 1 and pos % 20 = 1""",
+select distinct chrom, pos, ref, alt from {fx_variants} where length(alt) = 1""",
     "fx_files": """
 select k, p as path from (
   select k, 'vcf/S'||lpad(cast(k as string),2,'0')||'.filtered.vcf' as p from (select distinct cast(s_suppkey % 12 as int) as k from {supplier}) a where k % 3 <> 0
@@ -91,7 +91,7 @@ from {labels} l join {documents} d on l.doc_id = d.doc_id""",
     "fx_pvalues": """
 select event_id, cast(cast(floor(value * 7) as bigint) % 1000 as double) / 1000.0e0 as p from {events}""",
     "fx_gene_sets": """
-select p_type as term, 'G'||cast(p_partkey as string) as gene from {part} where p_partkey % 20 < 2""",
+select p_type as term, 'G'||cast(p_partkey as string) as gene from {part}""",
     "fx_vcf_lines": """
 select 'vcf/'||sample_id||'Aligned.sortedByCoord.out.filtered.vcf' as file_path,
  case when rec_order % 97 = 0 then '##header' when rec_order % 89 = 0 then chrom||'\t'||cast(pos as string) else

@@ -65,7 +65,7 @@ def test_vcf_cohort_round_trip(spark, tmp_path):
     for s, text in body.items():
         put(str(tmp_path / f"{s}.filtered.vcf"), VCF.format(s=s) + text)
     calls = genomic.read_vcf(spark, str(tmp_path), min_columns=8)
-    loci = cohort.cohort_loci(calls, min_samples=2, min_vaf=0.05, order="line_order")
+    loci = cohort.cohort_loci(calls, 2, 0.05, unit="file_path", order="line_order", with_first=True)
     found = {(r["chrom"], r["pos"], r["alt"]): (r["cohort_count"], r["max_af"]) for r in loci.collect()}
     # the repeated record of A does not count, neither once more nor with its fraction
     assert found == {("chr2", 5, "C"): (2, 0.3), ("chr10", 7, "T,A"): (2, 1.0)}
