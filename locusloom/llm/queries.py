@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusloom.llm import repeats
+from locusloom.llm import minhash, repeats
 from locusloom.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,26 @@ FROM d LEFT JOIN t USING (doc_id)
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes that remain of each document without 100-byte strings that also start earlier."""
     return repeats.remove_repeats(read_table(spark, sf_dir, "documents"), width=100)
+
+
+NEAR_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, md5_number_lower(array_to_string(ws[i:i + 4], ' ')) AS s
+      FROM w, LATERAL (SELECT unnest(range(1, greatest(length(ws) - 3, 2))) AS i) WHERE length(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id),
+c AS (SELECT id, min(root) AS component_id FROM r GROUP BY id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w LEFT JOIN n USING (doc_id) JOIN c ON c.id = w.doc_id
+"""
+
+
+@query(NEAR_SQL)
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingle sets have a similarity of at least 0.85."""
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=5, percent=85)
