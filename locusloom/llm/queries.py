@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusloom.llm import minhash, repeats
+from locusloom.llm import bpe, minhash, repeats
 from locusloom.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +72,12 @@ FROM w LEFT JOIN n USING (doc_id) JOIN c ON c.id = w.doc_id
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose five-word shingle sets have a similarity of at least 0.85."""
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=5, percent=85)
+
+
+@query()
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text they decode to."""
+    coded = bpe.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256")
+    )
