@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusloom.llm import bpe, minhash, repeats
+from locusloom.llm import bpe, langid, minhash, repeats
 from locusloom.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,9 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256")
     )
+
+
+@query()
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned outside the held-out fold."""
+    return langid.held_out_identification(read_table(spark, sf_dir, "documents"))
