@@ -26,6 +26,10 @@ SNIPPET = 512
 DICTIONARY = 64 << 10
 BLOCK = 1024
 LEVEL = 5
+SHORT = 256
+#: Bytes that end every dictionary and precede a short block: zstandard stores a block that gains nothing, which would hide
+#: what the language saves.
+CARRIER = bytes(range(1, 32)) * 4
 MARGIN = 0.001
 TEMPERATURE = 0.1
 UNKNOWN = "und"
@@ -66,7 +70,7 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
     found: dict[str, list[bytes]] = {}
     for row in snippets.collect():
         found.setdefault(row["lang"], []).append(distinct_words(row["text"]))
-    return {lang: b" ".join(parts)[-DICTIONARY:] for lang, parts in found.items() if any(parts)}
+    return {lang: b" ".join(parts)[-DICTIONARY:] + CARRIER for lang, parts in found.items() if any(parts)}
 
 
 def _classify(model: dict[str, bytes], margin: float):
@@ -86,6 +90,8 @@ def _classify(model: dict[str, bytes], margin: float):
             if not words or not langs:
                 return UNKNOWN, 0.0, True
             blocks = [words[i : i + BLOCK] for i in range(0, len(words), BLOCK)]
+            if len(blocks[-1]) < SHORT:
+                blocks[-1] = CARRIER + blocks[-1]
             sizes = [sum(len(compress(b)) for b in blocks) for compress in machines]
             least = min(sizes)
             best = sizes.index(least)
