@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusloom.llm import bpe, langid, minhash, repeats
+from locusloom.llm import bpe, decontaminate, langid, minhash, repeats
 from locusloom.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,22 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned outside the held-out fold."""
     return langid.held_out_identification(read_table(spark, sf_dir, "documents"))
+
+
+LEAKS_SQL = """
+WITH t AS (SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+w AS (SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[a-z0-9\\x{80}-\\x{10FFFF}]+') AS ws FROM t),
+s AS (SELECT DISTINCT kind, id, md5_number_lower(array_to_string(ws[i:i + 4], ' ')) AS s
+      FROM w, LATERAL (SELECT unnest(range(1, greatest(length(ws) - 3, 2))) AS i) WHERE length(ws) > 0),
+n AS (SELECT id AS item_id, count(*) AS n_item FROM s WHERE kind = 1 GROUP BY id),
+p AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared FROM s d JOIN s b ON d.s = b.s
+      WHERE d.kind = 0 AND b.kind = 1 GROUP BY ALL)
+SELECT doc_id, item_id, n_item, n_shared FROM p JOIN n USING (item_id) WHERE 100 * n_shared >= 80 * n_item
+"""
+
+
+@query(LEAKS_SQL)
+def op7_contained_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items of which a document holds at least 0.8 of the five-word shingles."""
+    return decontaminate.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
