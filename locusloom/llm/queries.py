@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusloom.llm import bpe, decontaminate, langid, minhash, repeats
-from locusloom.llm.tables import read_table
+from locusloom.llm import bpe, decontaminate, langid, minhash, repeats, warc
+from locusloom.llm.tables import read_table, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +107,21 @@ SELECT doc_id, item_id, n_item, n_shared FROM p JOIN n USING (item_id) WHERE 100
 def op7_contained_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items of which a document holds at least 0.8 of the five-word shingles."""
     return decontaminate.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
+@query(WARC_SQL)
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records with revisits of equal payloads, and read back."""
+    place = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.archive(read_table(spark, sf_dir, "pages"), place)
+    return warc.page_summary(spark, place)
