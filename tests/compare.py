@@ -33,6 +33,9 @@ def difference(spark_df, con, sql: str) -> str | None:
     """None when equal, else a short description."""
     ours = spark_df.toPandas()
     theirs = con.execute(sql).df()
+    for c in set(ours.columns) & set(theirs.columns):  # a long with nulls
+        if str(theirs[c].dtype) == "Int64" and str(ours[c].dtype) in ("float64", "int64", "object"):
+            ours[c] = ours[c].astype("Int64")
     a, b = _canonical(ours), _canonical(theirs)
     if a[0] != b[0]:
         return f"columns {a[0]} != {b[0]}"
