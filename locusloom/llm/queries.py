@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusloom.llm import bpe, decontaminate, langid, minhash, repeats, warc
+from locusloom.llm import bpe, decontaminate, langid, minhash, repeats, topk, warc
 from locusloom.llm.tables import read_table, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,20 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     warc.archive(read_table(spark, sf_dir, "pages"), place)
     return warc.page_summary(spark, place)
+
+
+TOP_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query(TOP_SQL)
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 largest inner products of every hundredth embedding with all others."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
