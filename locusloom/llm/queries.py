@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusloom.llm import bpe, decontaminate, langid, minhash, repeats, topk, warc
+from locusloom.llm import bpe, decontaminate, langid, minhash, repeats, topk, toxicity, warc
 from locusloom.llm.tables import read_table, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,9 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 largest inner products of every hundredth embedding with all others."""
     vectors = read_table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from labels outside the held-out third."""
+    return toxicity.held_out_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
