@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusloom.llm import bpe, decontaminate, langid, minhash, repeats, topk, toxicity, warc
-from locusloom.llm.tables import read_table, shared_folder
+from locusloom.llm import bpe, decontaminate, langid, minhash, repeats, rollup, sharding, topk, toxicity, warc
+from locusloom.llm.tables import Scratch, read_table, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -148,3 +148,64 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from labels outside the held-out third."""
     return toxicity.held_out_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+WORDS, LETTERS = r"[^\x20\x09-\x0D]+", r"[A-Za-z]+"
+
+TOKENS_SQL = r"""
+WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS text,
+                  coalesce(quality, 1) = 0 AS withdrawn, coalesce(toxic, 0) = 1 AS recounted
+           FROM documents LEFT JOIN labels USING (doc_id)),
+c AS (SELECT source, lang, 'words-1' AS tokenizer, length(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n
+      FROM d WHERE NOT withdrawn AND NOT recounted
+      UNION ALL SELECT source, lang, 'letters-2', length(regexp_extract_all(text, '[A-Za-z]+')) FROM d WHERE NOT withdrawn AND recounted)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens FROM c GROUP BY ALL
+"""
+
+
+@query(TOKENS_SQL)
+def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after four batches: all documents; toxic ones counted anew; poor ones withdrawn; the second batch once more."""
+    labels = read_table(spark, sf_dir, "labels")
+    docs = read_table(spark, sf_dir, "documents")
+    first = rollup.count_tokens(docs, WORDS, "words-1")
+    toxic, poor = (labels.where(c).select("doc_id") for c in ("toxic = 1 and coalesce(quality, 1) <> 0", "quality = 0"))
+    counted = Scratch(spark).keep(first.select("doc_id", "source", "lang", "tokenizer", "n_tokens"))
+    again = rollup.count_tokens(docs.join(toxic, "doc_id", "left_semi"), LETTERS, "letters-2")
+    totals = rollup.Rollup(spark, f"{shared_folder(spark)}/rollup-{uuid.uuid4().hex}")
+    totals.commit("load", rollup.inserts(counted))
+    revised = rollup.revisions(counted.join(toxic, "doc_id", "left_semi"), again)
+    totals.commit("recount", revised)
+    totals.commit("withdraw", rollup.deletes(counted.join(poor, "doc_id", "left_semi")))
+    totals.commit("recount", revised)
+    return totals.totals()
+
+
+SHARDS, SLOTS = [f"shard-{i:02d}" for i in range(64)], 6553
+
+SHARDS_SQL = f"""
+WITH RECURSIVE s AS (
+  SELECT i, ('0x' || substr(md5('offset shard-' || lpad(i::VARCHAR, 2, '0')), 1, 15))::BIGINT % {SLOTS} AS place,
+         ('0x' || substr(md5('stride shard-' || lpad(i::VARCHAR, 2, '0')), 1, 15))::BIGINT % {SLOTS - 1} + 1 AS stride
+  FROM range({len(SHARDS)}) t(i)),
+p AS (SELECT list(place ORDER BY i) AS place, list(stride ORDER BY i) AS stride FROM s),
+f AS (
+  SELECT 0 AS turn, list_transform(range({SLOTS}), lambda x: -1) AS slots, list_transform(place, lambda x: 0) AS done, -1::BIGINT AS slot FROM p
+  UNION ALL
+  SELECT turn + 1, slots[:slot] || [turn % {len(SHARDS)}] || slots[slot + 2:], done[:turn % {len(SHARDS)}] || [step + 1] || done[turn % {len(SHARDS)} + 2:], slot
+  FROM (SELECT turn, slots, done, step, (place[turn % {len(SHARDS)} + 1] + step * stride[turn % {len(SHARDS)} + 1]) % {SLOTS} AS slot
+        FROM (SELECT turn, slots, done, place, stride, list_filter(range(done[turn % {len(SHARDS)} + 1], {SLOTS}),
+                lambda k: slots[(place[turn % {len(SHARDS)} + 1] + k * stride[turn % {len(SHARDS)} + 1]) % {SLOTS} + 1] < 0)[1] AS step
+              FROM f, p WHERE turn < {SLOTS}))),
+t AS (SELECT turn - 1 AS turn, slot FROM f WHERE turn > 0)
+SELECT doc_id, source, d.slot, 'shard-' || lpad((turn % {len(SHARDS)})::VARCHAR, 2, '0') AS shard
+FROM (SELECT doc_id, source, ('0x' || substr(md5(coalesce('=' || doc_id::VARCHAR, 'null')), 1, 15))::BIGINT % {SLOTS} AS slot FROM documents) d
+JOIN t ON t.slot = d.slot
+"""
+
+
+@query(SHARDS_SQL)
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document among 64, by its id."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    return sharding.place(docs, ["doc_id"], SHARDS, SLOTS)
