@@ -12,22 +12,50 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from locusloom.llm import repeats  # noqa: E402
+import public_tokenizers  # noqa: E402
+
+from locusloom.llm import bpe, decontaminate, langid, minhash, repeats  # noqa: E402
 from locusloom.llm.tables import read_table, shared_folder  # noqa: E402
 
 
+def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language compression tells; those without letters or with a tie go."""
+    return langid.accepted(docs, langid.learn(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group linked by five-word shingle similarities of 0.8 or more; rows without id stay."""
+    near = minhash.near_duplicates(docs, width=5, percent=80)
+    kept = near.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
+    found = docs.join(kept.withColumnRenamed("doc_id", "kept_id"), docs.doc_id == F.col("kept_id"))
+    single, repeated = found.where("copies = 1").select(docs.columns), found.where("copies > 1").select(docs.columns)
+    return single.unionByName(repeated.dropDuplicates(["doc_id"])).unionByName(docs.where("doc_id is null"))
+
+
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of 100 bytes or more that stand earlier in the corpus; every row stays."""
-    cut = repeats.remove_repeats(docs, width=100, with_text=True)
-    rest = docs.select("doc_id", "lang", "source").dropDuplicates(["doc_id"])
-    return (
-        cut.join(rest, cut.doc_id.eqNullSafe(rest.doc_id), "left")
-        .select(cut.doc_id, cut.text, "lang", "source", F.length(cut.text).cast("long").alias("n_chars"))
-    )
+    cut = repeats.remove_repeats(docs, width=100, with_text=True, carry=["lang", "source"])
+    return cut.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that don't hold 0.8 of the five-word shingles of a benchmark item."""
+    return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), width=5, percent=80)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text (little-endian unsigned 32 bits) and digests of them and of the text they decode to."""
+    return bpe.round_trip(docs, public_tokenizers.path("word_bpe_49k.json")).select(
+        "doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256")
+    )
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", in_known_language),
+    ("near_dedup", one_of_each),
     ("suffix_dedup", without_repeats),
+    ("decontamination", without_benchmark),
+    ("bpe", tokens),
 ]
 
 #: The stages compress, sketch and fingerprint texts, which SQL can't state; the tests hold them against brute force.

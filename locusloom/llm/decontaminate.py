@@ -70,6 +70,8 @@ class Items:
 
     def within(self, found: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """Item, its set size and the shingles it shares with a document's sorted set."""
+        if not len(found):
+            return
         low, high = np.searchsorted(self.values, found, "left"), np.searchsorted(self.values, found, "right")
         hit = np.flatnonzero(high > low)
         if not len(hit):
@@ -139,7 +141,19 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, percent:
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.n_item", "best.n_shared")
 
 
+def _clean(block: Items, width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inside = bytesops.letter_words()
+        for whole in batches:
+            for batch in bytesops.pieces(whole, "text"):
+                sets = bytesops.shingle_rows(batch.column(batch.schema.get_field_index("text")), width, inside)
+                yield batch.filter(pa.array([next(block.within(found), None) is None for found in sets], pa.bool_()))
+
+    return run
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that hold no item; rows without ``doc_id`` stay."""
-    held = contained_items(docs, items, width, percent).select("doc_id").distinct()
-    return docs.join(held, "doc_id", "left_anti")
+    """The rows of ``docs``, with all their columns, that hold no item; each block of items filters where the rows are."""
+    for block in item_sets(items, width, percent):
+        docs = docs.mapInArrow(_clean(block, width), docs.schema)
+    return docs

@@ -73,32 +73,35 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
     return {lang: b" ".join(parts)[-DICTIONARY:] + CARRIER for lang, parts in found.items() if any(parts)}
 
 
-def _classify(model: dict[str, bytes], margin: float):
-    langs = sorted(model)
+def _judge(model: dict[str, bytes], margin: float):
+    """Function from a text to its language, score and rejection."""
+    langs, machines = sorted(model), []
+    for lang in langs:
+        known = zstandard.ZstdCompressionDict(model[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        known.precompute_compress(level=LEVEL)
+        machine = zstandard.ZstdCompressor(dict_data=known, write_content_size=False, write_dict_id=False, write_checksum=False)
+        machines.append(machine.compress)
+
+    def judge(text: str | None) -> tuple[str, float, bool]:
+        words = distinct_words(text) if text else b""
+        if not words or not langs:
+            return UNKNOWN, 0.0, True
+        blocks = [words[i : i + BLOCK] for i in range(0, len(words), BLOCK)]
+        if len(blocks[-1]) < SHORT:
+            blocks[-1] = CARRIER + blocks[-1]
+        sizes = [sum(len(compress(b)) for b in blocks) for compress in machines]
+        least = min(sizes)
+        best = sizes.index(least)
+        second = min((s for i, s in enumerate(sizes) if i != best), default=2 * least)
+        score = 1 / sum(2.0 ** (-8 * TEMPERATURE * (s - least)) for s in sizes)
+        return langs[best], score, second - least <= margin * second
+
+    return judge
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machines = []
-        for lang in langs:
-            known = zstandard.ZstdCompressionDict(model[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            known.precompute_compress(level=LEVEL)
-            machines.append(
-                zstandard.ZstdCompressor(dict_data=known, write_content_size=False, write_dict_id=False, write_checksum=False).compress
-            )
-
-        def judge(text: str | None) -> tuple[str, float, bool]:
-            words = distinct_words(text) if text else b""
-            if not words or not langs:
-                return UNKNOWN, 0.0, True
-            blocks = [words[i : i + BLOCK] for i in range(0, len(words), BLOCK)]
-            if len(blocks[-1]) < SHORT:
-                blocks[-1] = CARRIER + blocks[-1]
-            sizes = [sum(len(compress(b)) for b in blocks) for compress in machines]
-            least = min(sizes)
-            best = sizes.index(least)
-            second = min((s for i, s in enumerate(sizes) if i != best), default=2 * least)
-            score = 1 / sum(2.0 ** (-8 * TEMPERATURE * (s - least)) for s in sizes)
-            return langs[best], score, second - least <= margin * second
 
+def _classify(model: dict[str, bytes], margin: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = _judge(model, margin)
         for batch in batches:
             names, scores, rejected = zip(*map(judge, batch.column("text").to_pylist())) if len(batch) else ((), (), ())
             columns = [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
@@ -119,6 +122,21 @@ def identify(docs: DataFrame, model: dict[str, bytes], margin: float = MARGIN) -
     return text_rows(docs).mapInArrow(_classify(model, margin), "doc_id long, lang_pred string, score double, rejected boolean")
 
 
+def _accepted(model: dict[str, bytes], margin: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = _judge(model, margin)
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            yield batch.filter(pa.array([not judge(t)[2] for t in texts], pa.bool_()))
+
+    return run
+
+
+def accepted(docs: DataFrame, model: dict[str, bytes], margin: float = MARGIN) -> DataFrame:
+    """The rows of ``docs`` with all their columns whose language :func:`identify` does not reject, without moving any."""
+    return docs.mapInArrow(_accepted(model, margin), docs.schema)
+
+
 def held_out_identification(docs: DataFrame, folds: int = 5) -> DataFrame:
     """Learn from the documents outside fold 0, predict all: adds ``held_out`` to :func:`identify`."""
     labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))

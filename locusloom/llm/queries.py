@@ -167,11 +167,12 @@ SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_
 def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after four batches: all documents; toxic ones counted anew; poor ones withdrawn; the second batch once more."""
     labels = read_table(spark, sf_dir, "labels")
-    docs = read_table(spark, sf_dir, "documents")
-    first = rollup.count_tokens(docs, WORDS, "words-1")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    both = rollup.count_tokens(docs, WORDS, "words-1").withColumnsRenamed({"n_tokens": "n1", "tokenizer": "t1"})
+    both = Scratch(spark).keep(rollup.count_tokens(both, LETTERS, "letters-2").drop("text"))
     toxic, poor = (labels.where(c).select("doc_id") for c in ("toxic = 1 and coalesce(quality, 1) <> 0", "quality = 0"))
-    counted = Scratch(spark).keep(first.select("doc_id", "source", "lang", "tokenizer", "n_tokens"))
-    again = rollup.count_tokens(docs.join(toxic, "doc_id", "left_semi"), LETTERS, "letters-2")
+    counted = both.selectExpr("doc_id", "source", "lang", "t1 as tokenizer", "n1 as n_tokens")
+    again = both.join(toxic, "doc_id", "left_semi")
     totals = rollup.Rollup(spark, f"{shared_folder(spark)}/rollup-{uuid.uuid4().hex}")
     totals.commit("load", rollup.inserts(counted))
     revised = rollup.revisions(counted.join(toxic, "doc_id", "left_semi"), again)
