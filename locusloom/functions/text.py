@@ -178,18 +178,33 @@ def file_kind(path: Column) -> Column:
     )
 
 
+# English month names as the tools print them, by their first letters.
+MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
+
+
 def log_time(text: Column) -> Column:
-    """Time stamp in any of the four styles tools print; NULL when none fits."""
-    clean = F.trim(F.regexp_replace(F.translate(text, "\u202f\u00a0", "  "), r"\s+", " "))
-    clean = F.trim(F.regexp_replace(clean, r"\s+(?!(?:AM|PM)\b)[A-Z]{2,5}\b", ""))
-    # A weekday name cannot be parsed by Spark's patterns, so it is cut off.
-    unix = F.regexp_replace(clean, r"^[A-Z][a-z]{2} (?=[A-Z][a-z]{2} )", "")
-    return F.coalesce(
-        F.try_to_timestamp(unix, F.lit("MMM d HH:mm:ss yyyy")),
-        F.try_to_timestamp(clean, F.lit("MMM d, yyyy, h:mm:ss a")),
-        F.try_to_timestamp(clean, F.lit("MMMM d, yyyy, h:mm:ss a")),
-        F.try_to_timestamp(clean, F.lit("yyyy-MM-dd HH:mm:ss")),
-    )
+    """Time stamp of a printed date; NULL when there is none.
+
+    The parts are looked for on their own, so order, commas, weekday and zone names do not
+    matter: a clock, AM or PM beside it, and either an ISO date or a month name with a day
+    and a year.
+    """
+
+    def number(pattern: str) -> Column:
+        return F.regexp_extract(text, pattern, 1).try_cast("int")
+
+    clock = r"\b(\d{1,2}):\d{2}:\d{2}\b", r"\b\d{1,2}:(\d{2}):\d{2}\b", r"\b\d{1,2}:\d{2}:(\d{2})\b"
+    hour, minute, second = map(number, clock)
+    half = F.upper(F.regexp_extract(text, r"(?i)\d\W?([AP])M\b", 1))
+    hour = F.when(half == "", hour).otherwise(hour % 12 + F.when(half == "P", 12).otherwise(0))
+    names = "|".join(MONTHS[i : i + 3] for i in range(0, len(MONTHS), 3))
+    name = F.regexp_extract(text, rf"\b({names})[a-z]*\W+\d", 1)
+    month = F.when(name != "", (F.instr(F.lit(MONTHS), name) + 2) / 3).cast("int")
+    day = number(rf"\b(?:{names})[a-z]*\W+(\d{{1,2}})\b")
+    year = number(r"(?<![:\d])(\d{4})(?![:\d])")
+    iso = [number(p) for p in (r"\b(\d{4})-\d{2}-\d{2}\b", r"\b\d{4}-(\d{2})-\d{2}\b", r"\b\d{4}-\d{2}-(\d{2})\b")]
+    parts = [F.coalesce(i, p) for i, p in zip(iso, (year, month, day))]
+    return F.try_make_timestamp(*parts, hour, minute, second.cast("decimal(8,6)"))
 
 
 def minutes_text(minutes: Column) -> Column:

@@ -43,12 +43,12 @@ def integrate_samples(
     cells: DataFrame | None = None,
     metadata: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per sample: burden and mutation totals (either may be absent), then what is known of it."""
+    """One row per sample: burden and mutation totals (either may be absent), then what is known of it, by sample id."""
     merged = burden.join(mutations, "sample_id", "full_outer")
     for extra in (spectra, clusters, cells, metadata):
         if extra is not None:
             merged = merged.join(extra, "sample_id", "left")
-    return merged
+    return merged.orderBy("sample_id")
 
 
 def numeric_columns(df: DataFrame, sample: str = "sample_id") -> list[str]:
@@ -62,12 +62,6 @@ def numeric_metrics(df: DataFrame, sample: str = "sample_id") -> list[str]:
     return [c for c in columns if filled[c]]
 
 
-def _struct_list(rows: Sequence[Sequence[int]], names: Sequence[str]) -> Column:
-    """Literal array of integer structs, as one expression however long it is."""
-    parts = (", ".join(f"'{n}', {v}" for n, v in zip(names, row)) for row in rows)
-    return F.expr("array(" + ", ".join(f"named_struct({p})" for p in parts) + ")")
-
-
 def _missing_counts(wide: DataFrame, metrics: Sequence[str]) -> dict[tuple[str, str], int]:
     """For each ordered pair, rows that have the first metric but not the second.
 
@@ -75,11 +69,12 @@ def _missing_counts(wide: DataFrame, metrics: Sequence[str]) -> dict[tuple[str,
     row per pair of columns comes back.
     """
     n = len(metrics)
-    ordered = _struct_list([(a, b) for a in range(n) for b in range(n) if a != b], ("a", "b"))
-    flags = wide.select(F.array(*[F.col(m).isNotNull() for m in metrics]).alias("has"))
-    apart = flags.filter(F.exists("has", lambda h: ~h)).select("has", F.inline(ordered)).filter(
-        F.get("has", F.col("a")) & ~F.get("has", F.col("b"))
-    )
+    flags = wide.select(F.array(*[F.col(m).isNotNull() for m in metrics]).alias("has")).filter(F.exists("has", lambda h: ~h))
+
+    def places(wanted: bool) -> Column:
+        return F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get("has", i) == wanted)
+
+    apart = flags.select(F.explode(places(True)).alias("a"), places(False).alias("gaps")).select("a", F.explode("gaps").alias("b"))
     counted = {(r["a"], r["b"]): r["n"] for r in apart.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).collect()}
     return {
         (metrics[a], metrics[b]): counted.get((a, b), 0) for a in range(n) for b in range(n) if a != b
@@ -120,8 +115,17 @@ def spearman_pairs(wide: DataFrame, metrics: Sequence[str] | None = None, sample
     ranked = average_rank(long, ["ranking"], "value")
     # One entry per ranking, so the list of a sample is as long as the table is wide.
     lists = ranked.groupBy(sample).agg(F.map_from_entries(F.collect_list(F.struct("ranking", "rank"))).alias("ranks"))
-    both = lists.select("ranks", F.inline(_struct_list(pairs, ("a", "b", "i", "j")))).select(
-        "a", "b", F.try_element_at("ranks", F.col("i")).alias("x"), F.try_element_at("ranks", F.col("j")).alias("y")
+    # Two lists of numbers per metric, whatever the number of pairs.
+    table = [[-1] * len(metrics) for _ in metrics]
+    for a, b, i, j in pairs:
+        table[a][b], table[b][a] = i, j
+    place = F.from_json(F.lit(str(table)), "array<array<int>>")
+    last = F.lit(len(metrics) - 1)
+    both = (
+        lists.select("ranks", F.explode(F.sequence(F.lit(0), last - 1)).alias("a"))
+        .select("ranks", "a", F.explode(F.sequence(F.col("a") + 1, last)).alias("b"))
+        .select("ranks", "a", "b", F.get(F.get(place, F.col("a")), F.col("b")).alias("i"), F.get(F.get(place, F.col("b")), F.col("a")).alias("j"))
+        .select("a", "b", F.try_element_at("ranks", F.col("i")).alias("x"), F.try_element_at("ranks", F.col("j")).alias("y"))
     )
     sums = (
         both.filter("x is not null and y is not null")
@@ -133,10 +137,12 @@ def spearman_pairs(wide: DataFrame, metrics: Sequence[str] | None = None, sample
             F.sum(F.col("x") * F.col("x")).alias("sxx"),
             F.sum(F.col("y") * F.col("y")).alias("syy"),
             F.sum(F.col("x") * F.col("y")).alias("sxy"),
+            (F.min("x") < F.max("x")).alias("x_varies"),
+            (F.min("y") < F.max("y")).alias("y_varies"),
         )
         .withColumn("vx", F.expr("n * sxx - sx * sx"))
         .withColumn("vy", F.expr("n * syy - sy * sy"))
-        .filter("n >= 3 and vx > 0 and vy > 0")
+        .filter("n >= 3 and x_varies and y_varies")
     )
     names = F.array(*[F.lit(m) for m in metrics])
     rho = F.expr("least(1.0D, greatest(-1.0D, (n * sxy - sx * sy) / sqrt(vx * vy)))")

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from locusloom.functions.tails import hypergeometric_upper_udf
 from locusloom.functions.text import INTEGRATION_SUFFIXES, first_alt, normalize_sample_id
+from locusloom.operators import checks
 from locusloom.operators.ordered import bh_adjust
 from locusloom.session import cut_lineage
 
 LOCUS = ["chrom", "pos", "ref", "alt"]
 GENE = ["gene_id", "gene_name"]
-MAX_MATRIX_COLUMNS = 10_000
 
 
 def variant_gene_pairs(annotated: DataFrame) -> DataFrame:
@@ -38,10 +38,11 @@ def burden_long(variants: DataFrame, annotated: DataFrame, sample: str = "sample
 def burden_wide(long: DataFrame, annotated: DataFrame, samples: Sequence[str]) -> DataFrame:
     """Gene by sample matrix with zeros; genes without a call in any sample stay in.
 
-    A column per sample only makes sense for a bounded cohort; larger ones use the long form.
+    The caller names the columns; a sample of the long table that has none stops the query
+    with an error instead of vanishing.
     """
-    if len(samples) > MAX_MATRIX_COLUMNS:
-        raise ValueError(f"{len(samples)} samples exceed {MAX_MATRIX_COLUMNS} matrix columns; use the long table")
+    named = F.col("sample_id").isin(list(samples))
+    checks.require_empty(long.filter(~named).select("sample_id").distinct(), "samples without a matrix column")
     empty = annotated.select(*GENE).distinct().withColumn("sample_id", F.lit(None).cast("string"))
     rows = long.select(*GENE, "sample_id", "n").unionByName(empty.withColumn("n", F.lit(0).cast("long")))
     cells = [F.coalesce(F.sum(F.when(F.col("sample_id") == s, F.col("n"))), F.lit(0)).alias(s) for s in samples]

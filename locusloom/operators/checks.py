@@ -20,11 +20,12 @@ def require_columns(df: DataFrame, required: Sequence[str], table: str) -> DataF
 
 
 def require_empty(violations: DataFrame, message: str, shown: int = 20) -> None:
-    """Raise with the first few violating rows; at most ``shown`` rows reach the driver."""
-    rows = violations.limit(shown).collect()
+    """Raise with the number of violations and the first ``shown``; the whole table stays the caller's."""
+    rows = violations.limit(shown + 1).collect()
     if rows:
-        listed = ", ".join("/".join(str(v) for v in r) for r in rows)
-        raise InputError(f"{message}: {listed}")
+        listed = ", ".join("/".join(str(v) for v in r) for r in rows[:shown])
+        more = f" and others, {violations.count()} in all" if len(rows) > shown else ""
+        raise InputError(f"{message}: {listed}{more}")
 
 
 def require_rows(df: DataFrame, message: str) -> DataFrame:

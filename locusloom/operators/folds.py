@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from locusloom.operators.checks import InputError
 from locusloom.operators.ordered import digest_rank, ordered_scan
+from locusloom.session import cut_lineage
 
 
 def _digest(*parts) -> F.Column:
@@ -111,14 +112,16 @@ def group_labelings(
         table = spark.createDataFrame(sets, "permutation_id long, positive_groups array<string>")
     else:
         wanted = min(n_random, total)
-        drawn, draws = None, wanted
+        # Fewer sets are wanted than there are, so drawing on ends; a round adds only new draws.
+        drawn, first, draws = observed, 1, wanted
         while True:
-            drawn = _random_labelings(per_group, group, k, draws, seed).unionByName(observed).distinct()
-            if draws >= 64 * wanted or drawn.count() >= wanted:
+            more = _random_labelings(per_group, group, k, first, draws, seed)
+            drawn = cut_lineage(drawn.unionByName(more).distinct())
+            if drawn.count() >= wanted:
                 break
-            draws *= 2
-        first = F.when(F.col("positive_groups") == observed.scalar(), 0).otherwise(1)
-        chosen = drawn.orderBy(first, F.md5(F.array_join("positive_groups", ";"))).limit(wanted)
+            first, draws = draws + 1, 2 * draws
+        later = F.when(F.col("positive_groups") == observed.scalar(), 0).otherwise(1)
+        chosen = drawn.orderBy(later, F.md5(F.array_join("positive_groups", ";"))).limit(wanted)
         text = chosen.withColumn("_text", F.array_join("positive_groups", ";"))
         numbered = ordered_scan(text, [], "_text", {"_k": F.lit(1)})
         table = numbered.select((F.col("_k_before") + 1).cast("long").alias("permutation_id"), "positive_groups")
@@ -126,8 +129,8 @@ def group_labelings(
     return marked, total <= max_exact
 
 
-def _random_labelings(per_group: DataFrame, group: str, k: int, draws: int, seed: int) -> DataFrame:
-    many = per_group.select(group).withColumn("_draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+def _random_labelings(per_group: DataFrame, group: str, k: int, first: int, last: int, seed: int) -> DataFrame:
+    many = per_group.select(group).withColumn("_draw", F.explode(F.sequence(F.lit(first), F.lit(last))))
     many = many.withColumn("_digest", _digest(F.lit(str(seed)), F.col("_draw").cast("string"), F.col(group)))
     ranked = digest_rank(many, ["_draw"], "_digest", "_rank")
     return (

@@ -76,7 +76,8 @@ def gene_intervals(features: DataFrame) -> DataFrame:
     """Gene intervals of a GTF feature table.
 
     Gene rows are used where the file has any. Only a file with none falls back to
-    transcript bounds, with the strand of the first transcript.
+    transcript bounds, with the strand of the first transcript. Ordered by chromosome,
+    start and end.
     """
     usable = features.filter(F.col("gene_id") != "")
     has_genes = usable.select(F.coalesce(F.max(F.col("feature") == "gene"), F.lit(False))).scalar()
@@ -96,4 +97,4 @@ def gene_intervals(features: DataFrame) -> DataFrame:
         )
         .select("chrom", "start", "end", "strand", "gene_id", "gene_name")
     )
-    return genes.unionByName(bounds)
+    return genes.unionByName(bounds).orderBy("chrom", "start", "end", "gene_id")

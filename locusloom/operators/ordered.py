@@ -10,6 +10,7 @@ one cut at most. The number of ranges follows the session's shuffle partitions.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,9 +20,9 @@ STEP = 64
 
 
 def _range_count(spark: SparkSession) -> int:
-    """Four ranges per shuffle partition, at least one step."""
+    """Four ranges per shuffle partition, in whole steps."""
     wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return STEP * min(STEP, max(1, -(-wanted // STEP)))
+    return STEP * max(1, -(-wanted // STEP))
 
 
 def with_range(df: DataFrame, order: str) -> DataFrame:
@@ -153,9 +154,10 @@ def bh_adjust(df: DataFrame, p: str, keys: Sequence[str] = (), name: str = "fdr_
 def digest_rank(df: DataFrame, keys: Sequence[str], digest: str, name: str = "rank") -> DataFrame:
     """Number rows 1.. per group in the order of a hex digest.
 
-    Digests are uniform, so their first characters cut a group into 256 or 4096 even parts.
+    Digests are uniform, so their first characters cut a group into even parts, at least
+    four per shuffle partition.
     """
-    width = 2 if int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) <= 64 else 3
+    width = max(2, math.ceil(math.log(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 16)))
     placed = df.withColumn("_slot", F.substring(digest, 1, width))
     counts = placed.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_n"))
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))

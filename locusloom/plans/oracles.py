@@ -350,11 +350,11 @@ oracle(
      from (select distinct sample_id from fx_variants) a left join sums s using (sample_id) group by 1""",
     CELLS,
 )
-oracle("barcode_cores", ("fx_cluster_map",), "select cell_id, split_part(split_part(cell_id, '_', 2), '-', 1) as barcode from fx_cluster_map")
+oracle("barcode_cores", ("fx_all_clusters",), "select cell_id, split_part(split_part(cell_id, '_', 2), '-', 1) as barcode from fx_all_clusters")
 oracle(
     "sample_contains",
-    ("fx_cluster_map",),
-    "select sample, count(*) as cells from fx_cluster_map where contains(sample, 'S0') group by 1",
+    ("fx_all_clusters",),
+    "select sample, count(*) as cells from fx_all_clusters where contains(sample, 'S0') group by 1",
 )
 MERGED = """
 merged as (select a.sample_id, a.record_idx, '@r' || cast(a.record_idx as string) || '/R2' as header, a.seq || b.seq as seq,
@@ -608,7 +608,8 @@ oracle(
     E,
     """select stage, last_status, last_status = 'finished' and coalesce(max(cast(last_status <> 'finished' as int)) over (order by stage
          rows between unbounded preceding and 1 preceding), 0) = 1 as out_of_order_finished,
-       last_status = 'running' and count(*) filter (where last_status = 'running') over () > 1 as multiple_running,
+       last_status = 'running' and coalesce(count(*) filter (where last_status = 'running') over (order by stage
+         rows between unbounded preceding and 1 preceding), 0) > 0 as multiple_running,
        coalesce(last_status = 'running' and epoch_us((select max(ts) from fx_stage_events)) / 1e6 - epoch_us(last_start_ts) / 1e6
          > greatest(2 * est, 1800), false) as overdue from state""",
     STATE,
@@ -620,13 +621,13 @@ oracle(
     """select s.stage, s.last_status, n.change_note is not null as changed, coalesce(n.change_note, '') as change_note
      from state s left join (select 'stage_' || lpad(cast(user_id % 17 + 1 as string), 2, '0') as stage,
        'changed by ' || cast(min(event_id) as string) as change_note from events where event_type = 'signup' group by 1) n
-     on s.stage = n.stage and n.stage <> 'stage_03'""",
+     on s.stage = n.stage""",
     STATE,
 )
 oracle(
     "latest_events",
     E,
-    "select stage, type, ts, event_id from fx_stage_events where stage = 'stage_05' order by ts desc limit 25",
+    "select stage, type, ts, event_id from fx_stage_events where stage = 'stage_05' order by ts desc, event_id desc limit 25",
 )
 L = ("fx_log_lines",)
 DONE = """

@@ -340,12 +340,12 @@ def matrix_cluster_sums(spark, sf):
 
 @query
 def barcode_cores(spark, sf):
-    return view(spark, sf, "fx_cluster_map").select("cell_id", barcode_core(F.col("cell_id")).alias("barcode"))
+    return view(spark, sf, "fx_all_clusters").select("cell_id", barcode_core(F.col("cell_id")).alias("barcode"))
 
 
 @query
 def sample_contains(spark, sf):
-    rows = view(spark, sf, "fx_cluster_map")
+    rows = view(spark, sf, "fx_all_clusters")
     return rows.filter(cells.sample_matches(F.col("sample"), "S0", "contains")).groupBy("sample").agg(F.count(F.lit(1)).alias("cells"))
 
 
@@ -613,13 +613,13 @@ def changed_stages(spark, sf):
     notes = view(spark, sf, "events").filter("event_type = 'signup'").groupBy(
         F.concat(F.lit("stage_"), F.lpad((F.col("user_id") % 17 + 1).cast("string"), 2, "0")).alias("stage")
     ).agg(F.concat(F.lit("changed by "), F.min("event_id").cast("string")).alias("change_note"))
-    rows = runlog.annotate_changes(stage_rows(spark, sf), notes.filter("stage <> 'stage_03'"))
+    rows = runlog.annotate_changes(stage_rows(spark, sf), notes)
     return rows.select("stage", "last_status", "changed", "change_note")
 
 
 @query
 def latest_events(spark, sf):
-    rows = runlog.latest_first(stage_events(spark, sf), "stage_05", 25)
+    rows = runlog.latest_first(stage_events(spark, sf), "stage_05", 25, tie="event_id")
     return plain_time(rows, "ts").select("stage", "type", "ts", "event_id")
 
 

@@ -28,7 +28,7 @@ select 'chr'||cast(p_partkey % 5 + 1 as string) as chrom,
   cast(floor(p_partkey/5) as bigint)*10 + p_size*3 as g_end,
   case when p_size % 2 = 0 then '+' else '-' end as strand,
   'G'||cast(p_partkey as string) as gene_id, p_brand as gene_name
-from {part} where p_partkey % 20 < 2""",
+from {part}""",
     "fx_samples": """
 select distinct 'S'||lpad(cast(k as string),2,'0') as sample_id,
   case when k % 2 = 0 then 'disease' else 'control' end as condition,
@@ -42,9 +42,12 @@ select distinct sample_id, cell,
   substr('ACGT',cast(floor(cell/16) % 4 + 1 as int),1)||substr('ACGT',cast(floor(cell/4) % 4 + 1 as int),1)
   ||substr('ACGT',cast(cell % 4 + 1 as int),1)||'ACGTACGTACGTA' as barcode
 from {fx_variants}""",
-    "fx_cluster_map": """
+    "fx_all_clusters": """
 select sample_id||'_'||barcode||'-1' as cell_id, sample_id as sample,
-  'c'||cast(cell % 5 as string) as cluster from {fx_cells} where cell % 7 <> 0""",
+  'c'||cast(cell % 5 as string) as cluster, cell from {fx_cells}""",
+    # Cells without a cluster are part of what cluster sums are about.
+    "fx_cluster_map": """
+select cell_id, sample, cluster from {fx_all_clusters} where cell % 7 <> 0""",
     "fx_observed": """
 select v.sample_id, c.barcode||'-1' as barcode, v.chrom, v.pos,
   case when v.rec_order % 3 = 0 then v.ref when v.rec_order % 11 = 5 then 'N' else substr(v.alt,1,1) end as base
