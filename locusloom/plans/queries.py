@@ -23,9 +23,11 @@ from locusloom.functions.text import (
 )
 from locusloom.operators import association, burden, cells, checks, cohort, folds, intervals, metadata, runlog, scoring, spectra
 from locusloom.operators.ordered import average_rank, bh_adjust, group_median, ordered_scan
+from locusloom.plans import files
 from locusloom.plans.views import view
 from locusloom.session import cut_lineage
 from locusloom.sources import genomic
+from locusloom.sources.lines import read_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -158,9 +160,15 @@ def hard_filter_pass(spark, sf):
     return kept.groupBy("sample_id").agg(F.count(F.lit(1)).alias("passing"))
 
 
+def vcf_folder(spark, sf):
+    """Folder of the VCF files, which are made once per application."""
+    rows = view(spark, sf, "fx_vcf_lines")
+    named = rows.select(F.col("file_path").alias("name"), F.col("rec_order").alias("line_order"), "value")
+    return files.made(spark, sf, "vcf", named)
+
+
 def vcf_lines(spark, sf):
-    """The lines as stored text: otherwise the optimizer repeats their making in every filter."""
-    return cut_lineage(view(spark, sf, "fx_vcf_lines"))
+    return read_lines(spark, vcf_folder(spark, sf), recursive=True)
 
 
 @query
@@ -181,7 +189,8 @@ def vcf_scan(spark, sf):
 
 @query
 def records_per_file(spark, sf):
-    return spectra.records_per_file(genomic.vcf_records(vcf_lines(spark, sf)))
+    counts = spectra.records_per_file(genomic.vcf_records(vcf_lines(spark, sf)))
+    return counts.withColumn("file_path", F.concat(F.lit("vcf/"), file_name(F.col("file_path"))))
 
 
 @query
@@ -316,18 +325,21 @@ def cluster_metrics(spark, sf):
 @query
 def matrix_cluster_sums(spark, sf):
     """Counts as sparse matrices: positions from value lists, then back through the index joins."""
-    counts = cell_counts(spark, sf)
-    loci = view(spark, sf, "fx_sites").withColumn("_key", F.concat_ws(":", "chrom", "pos", "ref", "alt"))
-    listed = ordered_scan(loci, [], "_key", {"_k": F.lit(1)}).withColumn("idx", F.col("_k_before") + 1)
-    seen = view(spark, sf, "fx_cells").select("sample_id", "barcode")
-    barcodes = ordered_scan(seen, ["sample_id"], "barcode", {"_k": F.lit(1)}).withColumn("idx", F.col("_k_before") + 1)
+    given = {"fx_variants": cut_lineage(variants(spark, sf))}
+    given |= {name: cut_lineage(view(spark, sf, name, given)) for name in ("fx_cells", "fx_sites")}
+    counts = cut_lineage(cells.cell_allele_counts(view(spark, sf, "fx_observed", given), given["fx_sites"]))
+    loci = given["fx_sites"].withColumn("_key", F.concat_ws(":", "chrom", "pos", "ref", "alt"))
+    listed = cut_lineage(ordered_scan(loci, [], "_key", {"_k": F.lit(1)}).withColumn("idx", F.col("_k_before") + 1))
+    seen = given["fx_cells"].select("sample_id", "barcode")
+    numbered = ordered_scan(seen, ["sample_id"], "barcode", {"_k": F.lit(1)})
+    barcodes = cut_lineage(numbered.withColumn("idx", F.col("_k_before") + 1))
     at = counts.join(listed.select("chrom", "pos", "ref", "alt", F.col("idx").alias("row_idx")), ["chrom", "pos", "ref", "alt"])
-    at = at.join(barcodes.select("sample_id", "barcode", F.col("idx").alias("col_idx")), ["sample_id", "barcode"])
+    at = cut_lineage(at.join(barcodes.select("sample_id", "barcode", F.col("idx").alias("col_idx")), ["sample_id", "barcode"]))
     ad = at.filter("ad > 0").withColumn("value", F.col("ad"))
     dp = at.filter("dp > 0").withColumn("value", F.col("dp"))
     # The site list is shared by all samples, so it is looked up by the row index alone.
     aligned = cells.align_matrices(ad, dp)
-    per_sample = view(spark, sf, "fx_cells").select("sample_id").distinct()
+    per_sample = seen.select("sample_id").distinct()
     named = cells.matrix_cells(
         aligned,
         listed.select("idx", "chrom", "pos", "ref", "alt").join(
@@ -335,7 +347,7 @@ def matrix_cluster_sums(spark, sf):
         ),
         barcodes.join(per_sample, "sample_id", "left_semi"),
     )
-    return cells.cluster_allele_sums(named, lookup(spark, sf), min_alt=2)
+    return cells.cluster_allele_sums(named, cells.cluster_lookup(view(spark, sf, "fx_cluster_map", given)), min_alt=2)
 
 
 @query
@@ -377,15 +389,22 @@ def whitelist_barcodes(spark, sf):
 
 
 def integrated(spark, sf):
+    """All summaries from one scan of the calls, which are written once."""
+    calls = cut_lineage(variants(spark, sf))
+    given = {"fx_variants": calls}
+    loci = cohort.cohort_loci(calls, order="rec_order")
+    long = burden.burden_long(calls, intervals.annotate_variants(loci, genes(spark, sf), BIN))
+    counts = cells.cell_allele_counts(view(spark, sf, "fx_observed", given), view(spark, sf, "fx_sites", given))
+    sums = cells.cluster_allele_sums(counts, cells.cluster_lookup(view(spark, sf, "fx_cluster_map", given)))
     samples = view(spark, sf, "fx_samples")
-    detected = variants(spark, sf).select(
+    detected = calls.select(
         "sample_id", F.concat(F.lit("solo/"), "sample_id", F.lit("/Gene/filtered/barcodes.tsv")).alias("file_path"), "cell"
     )
     return association.integrate_samples(
-        burden.burden_totals(long_burden(spark, sf)),
-        association.regroup_mutation_burden(spectra.mutation_burden(variants(spark, sf))),
-        spectra.spectrum_totals(variants(spark, sf)),
-        cells.cluster_metrics(cluster_sums(spark, sf)),
+        burden.burden_totals(long),
+        association.regroup_mutation_burden(spectra.mutation_burden(calls)),
+        spectra.spectrum_totals(calls),
+        cells.cluster_metrics(sums),
         cells.first_file_cells(detected.distinct()),
         association.first_metadata(samples),
     )

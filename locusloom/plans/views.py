@@ -100,7 +100,7 @@ select 'vcf/'||sample_id||'Aligned.sortedByCoord.out.filtered.vcf' as file_path,
  case when rec_order % 97 = 0 then '##header' when rec_order % 89 = 0 then chrom||'\t'||cast(pos as string) else
   chrom||'\t'||cast(pos as string)||'\t.\t'||ref||'\t'||alt||case when rec_order % 5 = 0 then ',G' else '' end
   ||'\t50\t.\tQD='||cast(qd as string)||';FS='||cast(fs as string)||';QD='||cast(qd+1 as string)
-  ||'\tGT:AF\t0/1:'||cast(af as string) end as value
+  ||'\tGT:AF\t0/1:'||cast(af as string) end as value, rec_order
 from {fx_variants}""",
     "fx_gtf_lines": """
 select chrom||'\thavana\tgene\t'||cast(g_start + 1000 as string)||'\t'||cast(g_end + 1000 as string)||'\t.\t'||strand
@@ -117,8 +117,16 @@ def _needs(text: str) -> list[str]:
 _KNOWN: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table or fixture view as a DataFrame; each is analysed once per application."""
+def view(spark: SparkSession, sf_dir: str, name: str, given: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A base table or fixture view as a DataFrame; each is analysed once per application.
+
+    ``given`` has views that were written already, for what is made from them.
+    """
+    if given is not None:
+        if name in given:
+            return given[name]
+        if name in VIEWS:
+            return spark.sql(VIEWS[name], **{n: view(spark, sf_dir, n, given) for n in _needs(VIEWS[name])})
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _KNOWN:
         if name not in VIEWS:
