@@ -295,15 +295,17 @@ oracle(
 def cell_variant_files(spark, sf):
     """Variant lists of the sparse matrices: positions count the usable rows."""
     sites = variants(spark, sf).groupBy("chrom", "pos", "ref", "alt").agg(F.min("rec_order").alias("seen"))
+    letter = lambda c: F.instr(F.lit("ACGT"), F.substring(c, F.lit(1), F.lit(1)))
+    order = F.col("pos") * 100 + letter(F.col("ref")) * 20 + letter(F.col("alt")) * 4 + F.length("alt")
     value = F.when(F.col("seen") % 13 == 0, "broken\trow").otherwise(_tabbed("chrom", "pos", "ref", "alt"))
-    folder = files.made(spark, sf, "cell-variants", _named(sites, F.concat("chrom", F.lit(".tsv")), F.col("seen"), value))
+    folder = files.made(spark, sf, "cell-variants", _named(sites, F.concat("chrom", F.lit(".tsv")), order, value))
     return tables.read_cell_variants(spark, folder, vcf=False).drop("file_path")
 
 
 oracle(
     "cell_variant_files",
     ("fx_variants",),
-    """select row_number() over (partition by chrom order by seen) as idx, chrom, pos, ref, alt from (
+    """select row_number() over (partition by chrom order by pos, ref, alt) as idx, chrom, pos, ref, alt from (
        select chrom, pos, ref, alt, min(rec_order) as seen from fx_variants group by all) q where seen % 13 <> 0""",
 )
 

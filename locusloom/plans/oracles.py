@@ -745,12 +745,14 @@ oracle(
 oracle(
     "display_text",
     (),
-    """select event_id, printf('%.3f', round_even(value / 8, 3)) || case when event_id % 2 = 0 then ' +/- ' || printf('%.3f', round_even(value / 16, 3)) else '' end as mean_sd,
+    """select event_id, printf('%.3f', mean / 1000) || case when event_id % 2 = 0 then ' +/- ' || printf('%.3f', sd / 1000) else '' end as mean_sd,
        minutes, case when value >= 50 then '+' else '-' end || signed as signed_minutes
      from (select *, case when m < 1 then printf('%.1f', round_even(m, 1)) || ' min' when m < 90 then cast(cast(round_even(m, 0) as bigint) as string) || ' min'
          else cast(cast(floor(m / 60) as bigint) + cast(r = 60 as int) as string) || ' h ' || cast(case when r = 60 then 0 else r end as string) || ' min' end as minutes,
          case when n < 1 then printf('%.1f', round_even(n, 1)) || ' min' when n < 90 then cast(cast(round_even(n, 0) as bigint) as string) || ' min'
          else cast(cast(floor(n / 60) as bigint) + cast(s = 60 as int) as string) || ' h ' || cast(case when s = 60 then 0 else s end as string) || ' min' end as signed
-       from (select event_id, value, m, n, cast(round_even(m - floor(m / 60) * 60, 0) as bigint) as r, cast(round_even(n - floor(n / 60) * 60, 0) as bigint) as s
-             from (select event_id, value, greatest(value, 0.0e0) as m, abs(value - 50) as n from events) q1) q2) q3""",
+       from (select event_id, value, m, n, mean, sd, cast(round_even(m - floor(m / 60) * 60, 0) as bigint) as r, cast(round_even(n - floor(n / 60) * 60, 0) as bigint) as s
+             from (select event_id, value, greatest(value, 0.0e0) as m, abs(value - 50) as n, c * 5 // 4 + case when c * 5 % 4 = 2 then c * 5 // 4 % 2 else cast(c * 5 % 4 > 2 as int) end as mean,
+               c * 5 // 8 + case when c * 5 % 8 = 4 then c * 5 // 8 % 2 else cast(c * 5 % 8 > 4 as int) end as sd
+             from (select *, cast(round(value * 100) as bigint) as c from events) q0) q1) q2) q3""",
 )
