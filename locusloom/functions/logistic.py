@@ -15,15 +15,15 @@ def _loss(k, a, b, y, weight):
     return 0.5 * a @ k @ a + np.sum(weight * (np.logaddexp(0.0, f) - y * f))
 
 
-def fit_scores(
+def fit(
     k: np.ndarray,
     y: np.ndarray,
     train: np.ndarray,
     weight: np.ndarray | None = None,
     free_intercept: bool = False,
     max_steps: int = 200,
-) -> np.ndarray:
-    """Decision scores of all samples after a fit on ``train`` (C = 1).
+) -> tuple[np.ndarray, float]:
+    """Weights of the ``train`` samples and intercept of a fit on them (C = 1).
 
     Damped Newton steps on the optimality conditions ``a = w (y - sigmoid(K a + b))``;
     with a free intercept also ``sum(a) = 0``. For a penalised intercept add 1 to K.
@@ -49,6 +49,12 @@ def fit_scores(
         a, b = a + scale * da, b + scale * db
         if max(np.max(np.abs(scale * da), initial=0.0), abs(scale * db)) < 1e-10:
             break
+    return a, b
+
+
+def fit_scores(k: np.ndarray, y: np.ndarray, train: np.ndarray, *options, **named) -> np.ndarray:
+    """Decision scores of all samples after :func:`fit`."""
+    a, b = fit(k, y, train, *options, **named)
     return k[:, train] @ a + b
 
 

@@ -176,7 +176,7 @@ def grouped_permutation(
 ) -> tuple[DataFrame, DataFrame]:
     """Scores of all labelings and the p-value table."""
     table, exact = fold_tables.group_labelings(samples, group, y, max_exact, n_random, seed)
-    # Bounded: at most max_exact or n_random labelings of at most GRAM_SAMPLES groups.
+    # Bounded: at most max_exact or n_random labelings of the groups.
     sets = [r[0] for r in table.orderBy("permutation_id").select("positive_groups").collect()]
     predictions = rs.written(rs.logo_predictions(burden, samples, y, group, labels, sample, title, sets))
     scores = rs.written(permutation_scores(predictions, table))

@@ -171,9 +171,40 @@ def test_inputs_the_reference_rejects(spark, cohort):
     lonely = samples.filter("y = 0 or gsm = 'g1'")
     with pytest.raises(Exception, match="one class only"):
         resampling.logo_predictions(burden, lonely, "y", "gsm", LABELS).collect()
-    many = spark.range(resampling.GRAM_SAMPLES + 1).selectExpr("cast(id as string) sample_id", "id % 2 y", "cast(id as string) gsm")
-    with pytest.raises(InputError, match="large_cohort"):
-        resampling.load_cohort(many, "sample_id", "y", "gsm")
+
+
+def test_samples_beyond_the_fitted_draw_are_predicted(spark, cohort):
+    ids, groups, y, x, samples, burden = cohort
+    drawn = resampling.load_cohort(samples, "sample_id", "y", "gsm", max_fit_samples=8)
+    assert drawn.size == 8 and drawn.y.sum() == 4 and drawn.rest.count() == 4
+    fitted = np.array([i in set(drawn.ids) for i in ids])
+    rows = resampling.logo_predictions(burden, samples, "y", "gsm", LABELS, max_fit_samples=8).collect()
+    assert sorted(r["sample_id"] for r in rows) == ids
+    for r in rows:
+        i = ids.index(r["sample_id"])
+        mask = fitted & np.array([g != groups[i] for g in groups])
+        assert r["decision_score"] == pytest.approx(direct(x, y, mask, True)[i], abs=1e-6)
+    rows = resampling.repeated_cv(burden, samples, "y", "gsm", LABELS, n_folds=3, repeats=2, max_fit_samples=8).collect()
+    assert len(rows) == 24
+    for fold in range(1, 7):
+        test = [ids.index(r["sample_id"]) for r in rows if r["fold"] == fold]
+        mask = fitted.copy()
+        mask[test] = False
+        want = direct(x, y, mask, True)
+        for r in (r for r in rows if r["fold"] == fold):
+            i = ids.index(r["sample_id"])
+            assert r["decision_score"] == pytest.approx(want[i], abs=1e-6)
+            assert r["paired_group_seen_in_train"] == any(groups[j] == groups[i] for j in np.flatnonzero(mask))
+    rows = resampling.plain_cv(burden, samples, "y", "gsm", n_folds=2, repeats=2, permutations=2, max_fit_samples=8).collect()
+    assert len(rows) == 3 * 2 * 12 and sum(r["at"] is None for r in rows) == 3 * 2 * 4
+    sets = [("g0", "g2", "g4"), ("g1", "g3", "g5")]
+    rows = resampling.logo_predictions(burden, samples, "y", "gsm", LABELS, labelings=sets, max_fit_samples=8).collect()
+    assert len(rows) == 24
+    for r in rows:
+        i, target = ids.index(r["sample_id"]), np.isin(groups, sets[r["labeling"]]).astype(int)
+        mask = fitted & np.array([g != groups[i] for g in groups])
+        assert r["true_label"] == target[i]
+        assert r["decision_score"] == pytest.approx(direct(x, target, mask, True)[i], abs=1e-6)
 
 
 def test_random_labelings(spark):
