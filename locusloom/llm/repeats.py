@@ -26,19 +26,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from locusloom.llm import bytesops
-from locusloom.llm.tables import Scratch, text_rows
+from locusloom.llm.tables import Scratch, likely_rows, text_rows, whole_groups
 
-GRAM = 36
-GROUP = 512
-PHRASES = "g long, h long, doc_id long, lo int, n short, off short"
+GRAM = 24
+#: Phrases of one trigger ordered inside a task: about 400 kB of text.
+GROUP = 2048
+PHRASES = "g long, h long, doc_id long, lo int, n short"
 SUFFIXES = "g long, h long, doc_id long, lo int, n int, part binary"
 SPANS = "doc_id long, lo int, n int"
 
 
 def phrases(data: np.ndarray, prefix: bytesops.Prefix, width: int) -> tuple[np.ndarray, ...]:
-    """Trigger hash, phrase hash, first start, number of starts and trigger offset of each phrase of one text."""
+    """Trigger hash, phrase hash, first start and number of starts of each phrase of one text."""
     grams = np.arange(len(data) - GRAM + 1)
     trigger = prefix.hashes(grams, grams + GRAM)
     span = width - GRAM + 1
@@ -50,7 +52,7 @@ def phrases(data: np.ndarray, prefix: bytesops.Prefix, width: int) -> tuple[np.n
     at = (best & np.uint64((1 << 26) - 1)).astype(np.int64)
     lo = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
     n = np.diff(np.append(lo, len(at)))
-    return trigger[at[lo]].view(np.int64), prefix.hashes(lo, lo + n - 1 + width).view(np.int64), lo, n, at[lo] - lo
+    return trigger[at[lo]].view(np.int64), prefix.hashes(lo, lo + n - 1 + width).view(np.int64), lo, n
 
 
 def _parse(width: int):
@@ -64,12 +66,12 @@ def _parse(width: int):
                     text = data[offsets[i] : offsets[i + 1]]
                     for begin in range(0, len(text) - width + 1, block):  # blocks share width - 1 bytes
                         part = text[begin : begin + block + width - 1]
-                        g, h, lo, n, off = phrases(part, bytesops.Prefix(part, codes), width)
-                        found.append((g, h, np.full(len(g), ids[i], np.int64), lo + begin, n, off))
+                        g, h, lo, n = phrases(part, bytesops.Prefix(part, codes), width)
+                        found.append((g, h, np.full(len(g), ids[i], np.int64), lo + begin, n))
                 if found:
-                    g, h, doc, lo, n, off = (np.concatenate(x) for x in zip(*found))
-                    columns = [g, h, doc, lo.astype(np.int32), n.astype(np.int16), off.astype(np.int16)]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["g", "h", "doc_id", "lo", "n", "off"])
+                    g, h, doc, lo, n = (np.concatenate(x) for x in zip(*found))
+                    columns = [g, h, doc, lo.astype(np.int32), n.astype(np.int16)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["g", "h", "doc_id", "lo", "n"])
 
     return run
 
@@ -141,21 +143,11 @@ def _later(g, doc, lo, n, parts: list[bytes], width: int) -> pa.RecordBatch:
 
 
 def _order_suffixes(width: int):
-    """Over phrases sorted by trigger: whole triggers are ordered together, the last waits for the next batch."""
+    """Over phrases sorted by trigger: the phrases of some whole triggers are ordered together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            for at in range(0, len(batch), 8192):
-                held.append(batch.slice(at, 8192))
-                table = pa.Table.from_batches(held)
-                g = table.column("g").to_numpy()
-                full = int(np.searchsorted(g, g[-1], "left"))
-                if full:
-                    yield order(table.slice(0, full))
-                held = table.slice(full).to_batches()
-        if held:
-            yield order(pa.Table.from_batches(held))
+        for table in whole_groups(batches, ["g"]):
+            yield order(table)
 
     def order(table: pa.Table) -> pa.RecordBatch:
         g, doc, lo, n = (table.column(c).to_numpy().astype(np.int64) for c in ("g", "doc_id", "lo", "n"))
@@ -184,7 +176,8 @@ def repeated_starts(docs: DataFrame, scratch: Scratch, width: int = 100) -> Data
     open_ = placed.where("several and not whole")
     crowded = open_.groupBy("g").agg(F.count(F.lit(1)).alias("c")).select("g", (F.col("c") > GROUP).alias("crowded"))
     marks = open_.join(crowded, "g").groupBy("doc_id").agg(F.collect_list(F.struct("g", "lo", "n", "crowded")).alias("open"))
-    suffixes = scratch.keep(rows.join(marks, "doc_id").select("doc_id", "text", "open").mapInArrow(_suffixes(width), SUFFIXES))
+    asked = likely_rows(rows, open_.select("doc_id"))
+    suffixes = scratch.keep(asked.join(marks, "doc_id").select("doc_id", "text", "open").mapInArrow(_suffixes(width), SUFFIXES))
     near = (
         suffixes.where("part is not null").select("g", "doc_id", "lo", "n", "part")
         .repartition("g").sortWithinPartitions("g").mapInArrow(_order_suffixes(width), SPANS)
@@ -234,7 +227,7 @@ def _cut(width: int, with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, width: int = 100, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 100, with_text: bool = False, carry: list[str] | None = None) -> DataFrame:
     """Every row with its repeated passages taken out.
 
     Texts are UTF-8 bytes; each byte covered by a ``width``-byte string that also starts
@@ -247,13 +240,13 @@ def remove_repeats(docs: DataFrame, width: int = 100, with_text: bool = False) -
     ``doc_id`` is outside the corpus order: it loses nothing and makes nothing repeat. Rows
     equal in ``doc_id`` and text lose the same passages, none for each other's sake; if texts
     of one ``doc_id`` differ, what either loses is cut from both, within their length. Columns
-    other than ``doc_id`` and ``text`` are ignored; an empty table gives an empty one.
+    named in ``carry`` go along, others are ignored; an empty table gives an empty one.
     """
+    carry = carry or []
     scratch = Scratch(docs.sparkSession)
     spans = repeated_starts(docs, scratch, width)
     gone = spans.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "n")).alias("spans"))
-    tail = "text string" if with_text else "kept_sha256 string"
-    return (
-        text_rows(docs).join(gone, "doc_id", "left").select("doc_id", "text", "spans")
-        .mapInArrow(_cut(width, with_text), f"doc_id long, n_bytes long, n_removed long, n_spans long, {tail}")
-    )
+    rows = text_rows(docs, *carry)
+    tail = "text" if with_text else "kept_sha256"
+    schema = T.StructType([*rows.drop("text").schema, *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans"))])
+    return rows.join(gone, "doc_id", "left").select(*rows.columns, "spans").mapInArrow(_cut(width, with_text), schema.add(tail, T.StringType()))

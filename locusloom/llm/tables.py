@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import gc
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,8 +47,43 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BITMAP_BITS = 1 << 26
+
+
+def likely_rows(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``doc_id`` is not in ``ids (doc_id)``, found where they are.
+
+    A bitmap of fixed size (``BITMAP_BITS``, at most 8 MB, whatever the number of ids) is
+    broadcast, so that a join on ``doc_id`` afterwards moves few texts in vain. No row with an
+    id of ``ids`` is lost; with very many ids more others pass.
+    """
+    slot = lambda: F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS))
+    marks = ids.groupBy(F.bitmap_bucket_number(slot()).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot())).alias("bits"))
+    at = F.bitmap_bit_position(slot())
+    byte = F.conv(F.hex(F.expr("substring(bits, cast(at div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    held = rows.withColumn("bucket", F.bitmap_bucket_number(slot())).join(F.broadcast(marks), "bucket").withColumn("at", at)
+    return held.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(at % 8 as int))")) != 0).select(rows.columns)
+
+
 def text_rows(docs: DataFrame, *columns: str) -> DataFrame:
     """``doc_id`` as long, ``text`` with null as empty, and the named columns; others are left behind."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *columns
     )
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 8192) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches sorted by ``keys``: the last group of a table's rows waits for the next batch."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            held.append(batch.slice(at, rows))
+            table = pa.Table.from_batches(held)
+            columns = [table.column(k).to_numpy() for k in keys]
+            other = np.flatnonzero(np.logical_or.reduce([c != c[-1] for c in columns]))
+            full = int(other[-1]) + 1 if len(other) else 0
+            if full:
+                yield table.slice(0, full)
+            held = table.slice(full).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
