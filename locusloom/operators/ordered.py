@@ -16,6 +16,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from locusloom.session import cut_lineage
+
 STEP = 64
 
 
@@ -98,9 +100,10 @@ def ordered_scan(
 def value_totals(df: DataFrame, keys: Sequence[str], value: str, sums: Mapping[str, Column]) -> DataFrame:
     """One row per distinct value of a group with its sums, ``_before`` and ``_all`` totals.
 
-    Equal values are combined before anything is ordered, so ties cost one row.
+    Equal values are combined before anything is ordered, so ties cost one row. The distinct
+    values are written once: their cuts, totals and windows are three readings.
     """
-    distinct = (
+    distinct = cut_lineage(
         df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(*[c.alias(n) for n, c in sums.items()])
     )
     return ordered_scan(distinct, keys, value, {n: F.col(n) for n in sums})
@@ -135,7 +138,7 @@ def bh_adjust(df: DataFrame, p: str, keys: Sequence[str] = (), name: str = "fdr_
     """
     keys = list(keys)
     totals = value_totals(df, keys, p, {"_n": F.count(F.lit(1))})
-    raw = totals.withColumn("_raw", F.col(p) * F.col("_n_all") / (F.col("_n_before") + F.col("_n")))
+    raw = cut_lineage(totals).withColumn("_raw", F.col(p) * F.col("_n_all") / (F.col("_n_before") + F.col("_n")))
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     later = group.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
     tails = raw.groupBy(*keys, "_range").agg(F.min("_raw").alias("_low"))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from locusloom.functions.text import INTEGRATION_SUFFIXES, file_name, normalize_sample_id
 from locusloom.operators.checks import InputError, require_columns, require_rows
 from locusloom.operators.ordered import ordered_scan
+from locusloom.session import cut_lineage
 from locusloom.sources.lines import number_lines, read_lines
 
 
@@ -34,7 +35,8 @@ def read_matrix_market(spark: SparkSession, paths: str | Sequence[str]) -> tuple
     The first line after the comments is the shape; indices start at 1.
     """
     lines = read_lines(spark, paths).filter(~F.startswith("value", F.lit("%")) & (F.trim("value") != ""))
-    heads = lines.groupBy("file_path").agg(F.min("line_order").alias("_head"))
+    # One row per file, written first so that the join is planned from its real size.
+    heads = cut_lineage(lines.groupBy("file_path").agg(F.min("line_order").alias("_head")))
     parts = F.split(F.trim("value"), r"\s+")
     typed = lines.join(heads, "file_path").select(
         "file_path",
@@ -128,7 +130,7 @@ def read_cluster_counts(spark: SparkSession, paths: str | Sequence[str]) -> Data
     named = table.withColumn("sample_id", normalize_sample_id(stem, INTEGRATION_SUFFIXES))
     packed = F.when(F.endswith("file_path", F.lit(".gz")), 1).otherwise(0)
     files = named.select("sample_id", "file_path", packed.alias("_packed")).distinct()
-    chosen = files.groupBy("sample_id").agg(F.min(F.struct("_packed", "file_path"))["file_path"].alias("file_path"))
+    chosen = cut_lineage(files.groupBy("sample_id").agg(F.min(F.struct("_packed", "file_path"))["file_path"].alias("file_path")))
     return named.join(chosen, ["sample_id", "file_path"]).drop("file_path")
 
 
