@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locusloom.functions.text import file_name
-from locusloom.operators import association, checks, cohort, folds, intervals, runlog
+from locusloom.operators import association, checks, folds, intervals, runlog
 from locusloom.operators.checks import InputError
 from locusloom.plans import files
 from locusloom.plans.oracles import ORACLES, oracle
 from locusloom.plans.queries import (
     METRICS,
-    cell_counts,
     cluster_sums,
+    full_cohort_records,
     integrated,
     listed_files,
     merged_reads,
@@ -127,15 +127,12 @@ oracle("run_tables", ("fx_stage_events",), "select event_id as id, stage, type,
 @query
 def cohort_vcf_file(spark, sf):
     """The cohort VCF, written with its header and read back."""
-    calls = variants(spark, sf).select("*", F.lit(".").alias("id"), F.lit("50").alias("qual"), F.lit("PASS").alias("filter"), F.lit(".").alias("info"))
-    loci = cohort.cohort_loci(calls, order="rec_order", with_first=True)
-    full = cohort.first_records(calls, loci, ["id", "qual", "filter", "info"], "sample_id", "rec_order")
     place = _place(spark, "cohort.vcf")
-    writers.write_vcf(cohort.cohort_records(full), ["##fileformat=VCFv4.2", "##source=cohort"], place)
+    writers.write_vcf(full_cohort_records(spark, sf), ["##fileformat=VCFv4.2", "##source=cohort"], place)
     return genomic.read_vcf(spark, place).select("chrom", "pos", "id", "ref", "alt", "qual", "filter", "info")
 
 
-ORACLES["cohort_vcf_file"] = ORACLES["cohort_records"].replace("case when cell % 3 = 0 then '.' else 'CELL=' || cast(cell as string) end", "'.'")
+ORACLES["cohort_vcf_file"] = ORACLES["cohort_records"]
 
 
 @query

@@ -106,8 +106,7 @@ def cohort_common_variants(spark, sf):
     return rounded(first, "max_af")
 
 
-@query
-def cohort_records(spark, sf):
+def full_cohort_records(spark, sf):
     calls = variants(spark, sf).select(
         "*",
         F.lit(".").alias("id"),
@@ -117,7 +116,12 @@ def cohort_records(spark, sf):
     )
     loci = cohort.cohort_loci(calls, order="rec_order", with_first=True)
     full = cohort.first_records(calls, loci, ["id", "qual", "filter", "info"], "sample_id", "rec_order")
-    return cohort.cohort_records(full).drop("first_unit", "first_order")
+    return cohort.cohort_records(full)
+
+
+@query
+def cohort_records(spark, sf):
+    return full_cohort_records(spark, sf).drop("first_unit", "first_order")
 
 
 @query
