@@ -28,8 +28,10 @@ def query(sql: str | None = None):
 
 REPEATS_SQL = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-s AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS w
-      FROM d, LATERAL (SELECT unnest(range(0, greatest(length(h) // 2 - 99, 0))) AS i)),
+p AS (SELECT doc_id, j, substr(h, 1000 * j + 1, 1198) AS part
+      FROM d, LATERAL (SELECT unnest(range(0, length(h) // 1000 + 1)) AS j)),
+s AS (SELECT doc_id, 500 * j + k AS i, substr(part, 2 * k + 1, 200) AS w
+      FROM p, LATERAL (SELECT unnest(range(0, least(500, greatest(length(part) // 2 - 99, 0)))) AS k)),
 f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY md5(w) ORDER BY doc_id, i) AS k FROM s),
 r AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM f WHERE k > 1),
 b AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 100 THEN 1 ELSE 0 END)
