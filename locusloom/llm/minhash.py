@@ -13,9 +13,12 @@ least ``needed`` values but for a chance under ``MISS``.
 3. *Overlaps.* Each list compares its members with its hub, the member whose values are
    retained most often, which a template or an original is. Pairs whose union sketch keeps
    less than ``needed`` common values are dropped, the others confirmed on the full sets.
-4. *Components* of these links. Lists whose members are in several components then compare
-   the members of different ones, in blocks of the list, by the same two tests, so that no
-   link which could join components is missed. Pairs in one component need no test.
+4. *Components* of these links. Members of a hub's lists outside its component are then held
+   against all members of those lists, so that no link which could join components is missed.
+   Near misses make many such pairs, so they are sifted inside tasks, in blocks, by a parity
+   bitmap of each set: the bits in which two bitmaps differ are at most the elements in which
+   the sets differ, so a pair with more differing bits than its sizes allow is no link. What
+   passes goes through the two tests above. Pairs in one component need no test.
 """
 
 from __future__ import annotations
@@ -31,11 +34,12 @@ from pyspark.sql import functions as F
 
 from locusloom.llm import bytesops
 from locusloom.llm.components import components
-from locusloom.llm.tables import Scratch, text_rows
+from locusloom.llm.tables import Scratch, likely_rows, text_rows, whole_groups
 
 SKETCH = 48
 MISS = 1e-10
-BLOCK = 256
+BLOCK = 2048
+PARITY = 4096
 SKETCHES = "doc_id long, n_shingles long, f1 long, f2 long, sketch array<long>"
 
 
@@ -81,6 +85,18 @@ def _full_sets(width: int):
     return run
 
 
+def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitmap of each full set: bit i tells whether the number of its hashes that fall on i is odd."""
+    for batch in batches:
+        found = []
+        for full in batch.column("full"):
+            at = np.frombuffer(full.as_buffer(), np.int64) & (PARITY - 1)
+            found.append(np.packbits((np.bincount(at, minlength=PARITY) & 1).astype(np.uint8)).tobytes())
+        sizes = [len(full.as_buffer()) // 8 for full in batch.column("full")]
+        columns = [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "n", "parity"])
+
+
 def _confirm(percent: int):
     """Pairs whose full sets are similar enough, the sets being sorted hashes as bytes."""
 
@@ -99,6 +115,35 @@ def _confirm(percent: int):
     return run
 
 
+def _sift(percent: int):
+    """Pairs of an asking and an asked row of a group that may be links, judged by their parity bitmaps."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["hub", "x", "y"]):
+            keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("hub", "x", "y")])
+            cuts = np.flatnonzero(np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0), [True])))
+            ids, n, component = (table.column(c).to_numpy() for c in ("id", "n", "component"))
+            asks = table.column("asks").to_numpy()
+            bits = np.frombuffer(b"".join(table.column("parity").to_pylist()), np.uint64).reshape(len(ids), -1)
+            found = []
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                own = np.arange(low, high)
+                others = own[~asks[own]]
+                for i in own[asks[own]]:
+                    near = others[
+                        (component[others] != component[i])
+                        & (100 * n[others] >= percent * n[i])
+                        & (100 * n[i] >= percent * n[others])
+                    ]
+                    differ = np.bitwise_count(bits[near] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                    near = near[(100 + percent) * differ <= (100 - percent) * (n[near] + n[i])]
+                    found.append(np.stack([np.minimum(ids[near], ids[i]), np.maximum(ids[near], ids[i])]))
+            pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+    return run
+
+
 class _Search:
     """One run over one table: the class sketches, and the two tests that pairs go through."""
 
@@ -124,7 +169,12 @@ class _Search:
             F.explode(F.expr("slice(found, 1, places)").getField("v")).alias("v"), "id", "n", "weight"
         )
 
-    def links(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    def full_sets(self, members: DataFrame) -> DataFrame:
+        """``(id, full)`` of the documents in ``members (doc_id)``."""
+        asked = likely_rows(self.docs, members).join(members, "doc_id")  # members are distinct; a semi-join would be moved below the bitmap
+        return self.scratch.keep(asked.mapInArrow(_full_sets(self.width), "id long, full binary"))
+
+    def links(self, pairs: DataFrame, classes: DataFrame, full: DataFrame | None = None) -> DataFrame:
         """The pairs ``(a, b)`` that pass the union-sketch estimate and then the test on full sets."""
         sketches = classes.select("id", "sketch")
         met = (
@@ -137,8 +187,8 @@ class _Search:
             F.col("common") >= self.needed
         )
         likely = self.scratch.keep(met.where(enough).select("a", "b"))
-        members = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-        full = self.scratch.keep(self.docs.join(members, "doc_id", "left_semi").mapInArrow(_full_sets(self.width), "id long, full binary"))
+        if full is None:
+            full = self.full_sets(likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct())
         met = likely.join(full.select(F.col("id").alias("a"), F.col("full").alias("full_a")), "a").join(
             full.select(F.col("id").alias("b"), F.col("full").alias("full_b")), "b"
         )
@@ -152,24 +202,31 @@ class _Search:
             .select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
         )
 
-    def open_pairs(self, lists: DataFrame, hubs: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs of list members in different components, neither of them the hub."""
-        placed = lists.join(labels, "id", "left").select("v", "id", "n", F.coalesce("component", "id").alias("component"))
-        mixed = (
-            placed.groupBy("v").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("low"), F.max("component").alias("high"))
-            .where("low <> high and m > 2").select("v", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    def open_pairs(self, lists: DataFrame, hubs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs of members of one hub's lists in different components, one of them outside the hub's, that
+        bitmaps allow; and the full sets of these members."""
+        names = labels.select(F.col("id").alias("hub"), F.col("component").alias("home"))
+        placed = self.scratch.keep(
+            lists.join(hubs.select("v", "hub"), "v").where("id <> hub").select("hub", "id").distinct()
+            .join(labels, "id", "left").join(names, "hub", "left")
+            .select("hub", "id", F.coalesce("component", "id").alias("component"), F.coalesce("home", "hub").alias("home"))
+            .withColumn("outside", F.col("component") != F.col("home"))
         )
-        rows = self.scratch.keep(
-            placed.join(mixed, "v").join(hubs.select("v", "hub"), "v").where("id <> hub")
-            .select("v", "id", "n", "component", "blocks", F.expr("cast(pmod(xxhash64(id), blocks) as int)").alias("block"))
-        )
-        every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        left = rows.select("v", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("block").alias("x"), every.alias("y"))
-        right = rows.select("v", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), every.alias("x"), F.col("block").alias("y"))
-        return (
-            left.join(right, ["v", "x", "y"]).where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & self._similar_size("na", "nb"))
-            .select("a", "b").distinct()
+        size = lambda c: F.ceil(c / BLOCK).cast("int")
+        groups = (
+            placed.groupBy("hub").agg(F.count(F.lit(1)).alias("m"), F.count_if("outside").alias("o")).where("m > 1 and o > 0")
+            .select("hub", size(F.col("m")).alias("ys"), size(F.col("o")).alias("xs"))
         )
+        members = self.scratch.keep(placed.join(groups, "hub"))
+        full = self.full_sets(members.select(F.col("id").alias("doc_id")).distinct())
+        rows = members.join(full.mapInArrow(_parities, "id long, n long, parity binary"), "id")
+        slot = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
+        every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+        told = ["id", "n", "component", "parity"]
+        asking = rows.where("outside").select("hub", slot("xs").alias("x"), every("ys").alias("y"), F.lit(True).alias("asks"), *told)
+        asked = rows.select("hub", every("xs").alias("x"), slot("ys").alias("y"), F.lit(False).alias("asks"), *told)
+        grouped = asking.unionByName(asked).repartition("hub", "x", "y").sortWithinPartitions("hub", "x", "y")
+        return grouped.mapInArrow(_sift(self.percent), "a long, b long").distinct(), full
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = SKETCH) -> DataFrame:
@@ -203,7 +260,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     )
     links = search.links(search.star_pairs(lists, hubs), classes)
     labels = components(links, scratch)
-    further = search.links(search.open_pairs(lists, hubs, labels), classes)
+    pairs, full = search.open_pairs(lists, hubs, labels)
+    further = search.links(pairs, classes, full)
     if further.limit(1).count():
         labels = components(links.unionByName(further), scratch)
     named = sets.join(labels, "id", "left").select("f1", "f2", F.coalesce("component", "id").alias("component_id"))
