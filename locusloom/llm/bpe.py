@@ -28,7 +28,8 @@ from locusloom.llm.tables import text_rows
 
 NEVER = 1 << 30
 SECTION = 1 << 21
-CACHE_WORDS = 1 << 20
+#: Words whose ids a worker remembers: about 40 MB.
+CACHE_WORDS = 1 << 17
 SPACE, LETTER, DIGIT, OTHER = range(4)
 CONTRACTIONS = ("s", "t", "m", "d", "re", "ve", "ll")  # fixed values of the tokenizer's pattern
 

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 BASE = 0x9E3779B97F4A7C15
 SHINGLE_BASE = 0xD6E8FEB86659FD93
 _MASK = (1 << 64) - 1

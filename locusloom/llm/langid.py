@@ -19,6 +19,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusloom.llm import bytesops
 from locusloom.llm.tables import text_rows
 
 SNIPPETS = 160
@@ -102,10 +103,11 @@ def _judge(model: dict[str, bytes], margin: float):
 def _classify(model: dict[str, bytes], margin: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _judge(model, margin)
-        for batch in batches:
-            names, scores, rejected = zip(*map(judge, batch.column("text").to_pylist())) if len(batch) else ((), (), ())
-            columns = [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "rejected"])
+        for whole in batches:
+            for batch in bytesops.pieces(whole, "text"):
+                names, scores, rejected = zip(*map(judge, batch.column("text").to_pylist()))
+                found = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *found], ["doc_id", "lang_pred", "score", "rejected"])
 
     return run
 
@@ -125,9 +127,10 @@ def identify(docs: DataFrame, model: dict[str, bytes], margin: float = MARGIN) -
 def _accepted(model: dict[str, bytes], margin: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _judge(model, margin)
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array([not judge(t)[2] for t in texts], pa.bool_()))
+        for whole in batches:
+            for batch in bytesops.pieces(whole, "text"):
+                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+                yield batch.filter(pa.array([not judge(t)[2] for t in texts], pa.bool_()))
 
     return run
 
