@@ -139,6 +139,28 @@ def test_toxicity_learns_marked_words(documents, spark):
     assert toxicity.held_out_scores(documents([]), labels).count() == 0
 
 
+def test_toxicity_counts_every_labelled_row(documents, spark, monkeypatch):
+    rows = [(i, f"start{i % 7} alpha{i} beta{i % 50} gamma{i % 3}" + (" vile rot" if i % 10 == 0 else "")) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    part = (F.col("doc_id") % 4 == 3).cast("int") + F.when(F.col("doc_id") % 20 == 10, 1).otherwise(0)
+    counted = [(i, t.split()) for i, t in rows if i % 4 != 3 and i % 20 != 10]
+    learned = toxicity.learn(documents(rows), labels, part, sample=5)
+    # one toxic document to every nine others: all of them count, and so do pairs that occur once
+    assert learned.shape["pairs"] == len({p for _, w in counted for p in zip(w, w[1:])})
+    assert learned.shape["words"] == len({x for _, w in counted for x in w})
+    ordinary = {(w[j - 2] if j > 1 else None, w[j - 1], w[j]) for i, w in counted if i % 10 for j in range(1, len(w))}
+    assert learned.shape["ordinary"] == len(ordinary)
+    texts = documents([*rows, (None, ""), (900, None), (901, "vile rot " * 50), (901, "vile rot " * 50)])
+    want = sorted(toxicity.score(texts, learned).toPandas().fillna(-1).itertuples(index=False, name=None))
+    for words in (learned.shape["words"], 1):  # the same figures when only the words are sent to the tasks, and when nothing is
+        monkeypatch.setattr(toxicity, "WHOLE", words)
+        monkeypatch.setattr(toxicity, "PIECE", 500)
+        joined = toxicity.learn(documents(rows), labels, part, sample=5)
+        assert joined.pairs is not None and (joined.words is None) == (words > 1)
+        got = sorted(toxicity.score(texts, joined).toPandas().fillna(-1).itertuples(index=False, name=None))
+        assert [g[0] for g in got] == [x[0] for x in want] and np.allclose([g[1] for g in got], [x[1] for x in want])
+
+
 def contained(docs, items):
     def words(t):
         out, held = [], ""
