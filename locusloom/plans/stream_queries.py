@@ -17,14 +17,14 @@ def _folder(spark, name):
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _stream(spark, sf, table):
+def _stream(spark, sf, table, **options):
     schema = spark.read.parquet(f"{sf}/{table}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf)
+    return spark.readStream.schema(schema).options(pathGlobFilter=f"{table}.parquet", **options).parquet(sf)
 
 
-def _stage_events(spark, sf):
+def _stage_events(spark, sf, **options):
     # The watermark needs a time stamp with a time zone.
-    events = _stream(spark, sf, "events")
+    events = _stream(spark, sf, "events", **options)
     return spark.sql(VIEWS["fx_stage_events"], events=events).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -48,10 +48,11 @@ def stream_event_windows(spark, sf):
 @query
 def stream_overdue_alerts(spark, sf):
     target = _folder(spark, "alerts")
-    events = _stage_events(spark, sf).withColumnRenamed("event_id", "event_order")
+    events = _stage_events(spark, sf, maxFilesPerTrigger=8).withColumnRenamed("event_id", "event_order")
     alerts = runs.overdue_alerts(events)
     runs.append_stream(alerts, target, target + "-checkpoint")
-    return plain_time(spark.read.schema(alerts.schema).parquet(target), "start_ts", "alert_ts")
+    found = spark.read.schema(alerts.schema).parquet(target).drop("run")
+    return plain_time(found, "start_ts", "alert_ts")
 
 
 @query

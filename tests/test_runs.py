@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from locusloom.functions.text import allele_fraction
 from locusloom.operators import association, burden, checks, cohort, runlog, spectra
+from locusloom.operators.ordered import ordered_scan
 from locusloom.sources.genomic import vcf_records
 from locusloom.streaming import runs
 
@@ -216,3 +217,28 @@ def test_alerts_and_late_rows(spark, tmp_path):
     runs.append_stream(windows, target, target + "-cp")
     got = {(r["window_start"], r["type"]): r["n"] for r in spark.read.parquet(target).collect()}
     assert got[(minute(0), "start")] == 3 and got[(minute(60), "start")] == 1
+
+
+def test_alerts_of_a_hot_stage_in_many_files(spark, tmp_path, monkeypatch):
+    source, out = str(tmp_path / "in"), str(tmp_path / "alerts")
+    rows = [("hot", ("start", "finish", "error")[i % 3], i * (1 + i % 40)) for i in range(600)] + [(None, "start", 0), ("late", "start", 23955)]
+    log = events(spark, rows)
+    log.repartition(6).write.parquet(source)
+    scans = []
+    monkeypatch.setattr(runs, "ordered_scan", lambda *a, **k: scans.append(k) or ordered_scan(*a, **k))
+
+    def alerts():
+        stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        runs.append_stream(runs.overdue_alerts(stream), out, out + "-cp")
+        return sorted((r["stage"] or "", r["start_ts"]) for r in spark.read.parquet(out).collect())
+
+    by_time = sorted((m, i, t) for i, (s, t, m) in enumerate(rows) if s == "hot")
+    last = max(m for _, _, m in rows)
+    follows = [m for m, _, _ in by_time[1:]] + [last - 10]
+    want = [("hot", minute(m)) for (m, _, t), after in zip(by_time, follows) if t == "start" and after > m + 30] + [("", minute(0))]
+    assert alerts() == sorted(want) and len(scans) == 1
+    assert alerts() == sorted(want)  # nothing new
+    # A finish before the open start of its stage doesn't close it.
+    more = spark.createDataFrame([(700, "late", "finish", minute(last - 8), 60.0), (701, "x", "finish", minute(last + 60), 60.0)], log.schema)
+    more.write.mode("append").parquet(source)
+    assert alerts() == sorted([*want, ("late", minute(23955))])
