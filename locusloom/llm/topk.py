@@ -29,16 +29,17 @@ from locusloom.llm.tables import Scratch
 SCALE = 1024
 BLOCK = 4096
 QUERY_BLOCK = 2048
-LARGEST = float(1 << 31)
+LARGEST = float(1 << 62)
 BLOCKS = "dim int, ids binary, cells binary, grid binary, exact binary"
 
 
 def integer_vectors(vectors: DataFrame) -> DataFrame:
-    """``(vec_id, x)`` with ``floor(SCALE * x)`` as longs; unusable vectors are left out."""
+    """``(vec_id, x)`` with ``floor(SCALE * x)`` as longs; unusable vectors are left out, components over a quarter of the longs refused."""
     wide = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x"))
-    sound = F.forall("x", lambda c: c.isNotNull() & (F.abs(c) < LARGEST / SCALE))  # NaN and infinity compare as larger
+    sound = F.forall("x", lambda c: c.isNotNull() & (F.abs(c) < float("inf")))  # NaN compares as larger
+    refused = F.raise_error(F.lit(f"a component of {LARGEST / SCALE:.0f} or more: its products exceed a long")).cast("long")
     return wide.where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0) & sound).select(
-        "vec_id", F.transform("x", lambda c: F.floor(c * SCALE)).alias("x")
+        "vec_id", F.transform("x", lambda c: F.when(F.abs(c) < LARGEST / SCALE, F.floor(c * SCALE)).otherwise(refused)).alias("x")
     )
 
 
@@ -83,6 +84,16 @@ class Queries:
         return numbers, product, self.size @ half + rounding
 
 
+def exact_products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Products of the rows of ``x`` with ``y`` as longs; in Python integers where they might not fit, and an error where one doesn't."""
+    if not len(x) or (np.abs(x).astype(np.float64) @ np.abs(y).astype(np.float64)).max() < LARGEST:
+        return x @ y
+    scores = x.astype(object) @ y.astype(object)
+    if any(not -(1 << 63) <= score < 1 << 63 for score in scores):
+        raise OverflowError("an inner product exceeds a long")
+    return scores.astype(np.int64)
+
+
 def _thresholds(queries: dict[int, Queries], k: int):
     """Each task's ``k`` largest lower bounds of every query."""
 
@@ -121,7 +132,7 @@ def _search(queries: dict[int, Queries], limits: dict[int, np.ndarray], k: int):
                         if len(scores) >= k and scores[k - 1] > upper[i][open_[at]]:
                             break
                         some = open_[at : at + 4 * k]
-                        ids, scores = np.append(ids, numbers[some]), np.append(scores, exact[some] @ own.x[i])
+                        ids, scores = np.append(ids, numbers[some]), np.append(scores, exact_products(exact[some], own.x[i]))
                         first = np.lexsort((ids, -scores))[:k]
                         ids, scores = ids[first], scores[first]
                     found.append((np.full(len(ids), own.ids[i]), ids, scores))
@@ -141,8 +152,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     Both tables have ``vec_id`` and ``embedding``; components become ``floor(1024 * x)``.
     Candidates are all vectors of the query's length but those with its id; with fewer than
-    ``k`` all are returned. Vectors that are null or empty, hold a null or non-finite component
-    or one of 2**21 or more (whose products could exceed a long), or have no id take no part. A
+    ``k`` all are returned. Vectors that are null or empty, hold a null or non-finite component,
+    or have no id take no part. A candidate's product that exceeds a long is an error, as is a component of 2**52 or more. A
     query id with several vectors asks with the smallest of them; repeated candidate rows are
     results each. Other columns are ignored; without queries the result is empty.
     """

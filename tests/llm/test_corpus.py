@@ -193,6 +193,24 @@ def test_top_k_equals_brute_force(spark, monkeypatch, query_block):
     assert topk.top_k(frame.limit(0), frame.limit(0), 10).count() == 0
 
 
+def test_top_k_keeps_large_components(spark):
+    rows = [(i, [float(i % 7) - 3.0, 0.5, float(i % 5)]) for i in range(60)]
+    rows += [(100, [2.0**21, 1.0, 0.0]), (101, [-(2.0**30), 0.0, 2.0**22]), (102, [2.0**20, 0.0, -(2.0**20)])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    scaled = {i: [int(1024 * c) for c in x] for i, x in rows}
+    for asked in (5, 100):
+        got = [tuple(r) for r in topk.top_k(frame, frame.where(F.col("vec_id") == asked), 8).orderBy("rank").collect()]
+        found = sorted((-sum(a * b for a, b in zip(scaled[asked], x)), i) for i, x in scaled.items() if i != asked)[:8]
+        assert got == [(asked, rank, i, -minus) for rank, (minus, i) in enumerate(found, 1)]
+    # The large halves cancel: the sum fits, though neither product does.
+    pair = spark.createDataFrame([(1, [2.0**35, -(2.0**35)]), (2, [2.0**35, 2.0**35])], "vec_id long, embedding array<double>")
+    assert topk.top_k(pair, pair.where("vec_id = 1"), 1).first()["score"] == 0
+    with pytest.raises(Exception, match="exceeds a long"):
+        topk.top_k(pair.unionByName(pair.where("vec_id = 1").withColumn("vec_id", F.lit(3).cast("long"))), pair.where("vec_id = 1"), 1).collect()
+    with pytest.raises(Exception, match="exceed a long"):
+        topk.top_k(spark.createDataFrame([(1, [1.0, 2.0**52]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>"), frame, 1).collect()
+
+
 PAGES = "page_id long, url string, html string"
 
 
