@@ -7,7 +7,7 @@ import sys
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -24,12 +24,18 @@ def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group linked by five-word shingle similarities of 0.8 or more; rows without id stay."""
+    """The first document of each group linked by five-word shingle similarities of 0.8 or more; rows without id stay.
+
+    Rows that repeat id and text stay once. An id that comes with several texts keeps them all,
+    each once: only one of them is compared with other documents (see ``near_duplicates``).
+    """
     near = minhash.near_duplicates(docs, width=5, percent=80)
-    kept = near.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
-    found = docs.join(kept.withColumnRenamed("doc_id", "kept_id"), docs.doc_id == F.col("kept_id"))
-    single, repeated = found.where("copies = 1").select(docs.columns), found.where("copies > 1").select(docs.columns)
-    return single.unionByName(repeated.dropDuplicates(["doc_id"])).unionByName(docs.where("doc_id is null"))
+    ids = near.where("doc_id is not null").groupBy(F.col("doc_id").alias("own_id")).agg(F.count(F.lit(1)).alias("copies"), F.max("kept").alias("kept"))
+    found = docs.join(ids.where("kept or copies > 1"), docs.doc_id == F.col("own_id"))
+    texts = found.where("copies > 1").dropDuplicates(["doc_id", "text"])
+    texts = texts.withColumn("texts", F.count(F.lit(1)).over(Window.partitionBy("doc_id"))).where("kept or texts > 1")
+    single = found.where("copies = 1")
+    return single.select(docs.columns).unionByName(texts.select(docs.columns)).unionByName(docs.where("doc_id is null"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,3 +60,13 @@ def test_repeated_and_unnamed_rows_stay_once_or_wholly(documents, spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (None, "a b c d e f g"), (None, None)]
     got = corpus_pipeline.one_of_each(spark, documents(rows), "").select("doc_id").collect()
     assert sorted((r[0] for r in got), key=str) == [1, None, None]
+
+
+def test_all_texts_of_an_id_stay(documents, spark):
+    same, other = "a b c d e f g", ["q w e r t y u", "z x c v b n m", "h j k l p o i"]
+    rows = [(1, same), (4, same), (4, same)]
+    for i, text in enumerate(other):
+        rows += [(2 + 10 * i, same), (2 + 10 * i, text), (2 + 10 * i, text)]
+    got = corpus_pipeline.one_of_each(spark, documents(rows), "").select("doc_id", "text").collect()
+    want = [(1, same), *((2 + 10 * i, t) for i, text in enumerate(other) for t in (same, text))]
+    assert sorted(map(tuple, got)) == sorted(want)
