@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusloom.llm import bpe, decontaminate, langid, minhash, repeats, rollup, sharding, topk, toxicity, warc
+from locusloom.llm import bpe, decontaminate, fingerprints, langid, minhash, repeats, rollup, sharding, topk, toxicity, warc
 from locusloom.llm.tables import Scratch, read_table, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,3 +212,9 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document among 64, by its id."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
     return sharding.place(docs, ["doc_id"], SHARDS, SLOTS)
+
+
+@query()
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    return fingerprints.edited_fingerprints(read_table(spark, sf_dir, "documents"))
