@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusloom.llm import bpe, decontaminate, fingerprints, langid, minhash, repeats, rollup, sharding, topk, toxicity, warc
+from locusloom.llm import bpe, decontaminate, fingerprints, langid, minhash, repeats, rollup, sharding, topk, toxicity, trie, warc
 from locusloom.llm.tables import Scratch, read_table, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,3 +218,38 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, and their likeness."""
     return fingerprints.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+TRIE_SQL = """
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT i, 0, i::BIGINT FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM bits WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS tab FROM bits WHERE k = 8),
+t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS whole, turn FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, length(text) AS chars, md5(whole) AS m, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, md5(whole)) AS place FROM t),
+h AS (SELECT c, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+                lambda a, b: xor(a // 256, tab[(xor(a, b) & 255) + 1])), 4294967295) % 6 AS h
+      FROM (SELECT DISTINCT c FROM o), crc),
+b AS (SELECT h.c, place, m, chars FROM h JOIN o ON o.c = h.c - h.c % 100 AND place <= h
+      UNION ALL SELECT o.c, place - h + least(h, coalesce(n, 0)), m, chars FROM o JOIN h USING (c)
+        LEFT JOIN (SELECT c, count(*) AS n FROM o GROUP BY c) s ON s.c = h.c - h.c % 100 WHERE place > h),
+p AS (SELECT c, place AS depth, chars, string_agg(m, '') OVER (PARTITION BY c ORDER BY place) AS path FROM b
+      UNION ALL SELECT c, 0, 0, '' FROM h),
+e AS (SELECT c, max(depth) AS depth FROM p GROUP BY c),
+n AS (SELECT path, any_value(p.depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+             sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE e.depth = p.depth), '')) AS ends_sha256
+      FROM p JOIN e USING (c) GROUP BY path),
+k AS (SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+u AS (SELECT left(n.path, 32 * d) AS path, sum((n_convs - 1) * chars) AS saved_tokens, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves
+      FROM (SELECT n.*, unnest(range(0, depth + 1)) AS d FROM n) n LEFT JOIN k USING (path) GROUP BY 1)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN u USING (path) LEFT JOIN k USING (path) LEFT JOIN n q ON n.depth > 0 AND q.path = left(n.path, 32 * (n.depth - 1))
+"""
+
+
+@query(TRIE_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of conversations that share the openings of every hundredth."""
+    return trie.prefix_trie(read_table(spark, sf_dir, "conversations"), rebuild=trie.with_shared_openings)

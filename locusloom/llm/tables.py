@@ -18,7 +18,8 @@ class Scratch:
     """Tables written to the shared folder for one call, removed as soon as they are done with.
 
     A written table survives lost executors and is not computed twice; dropping it and the
-    shuffles behind it keeps the disk needed at any moment to a few stages.
+    shuffles behind it keeps the disk needed at any moment to a few stages. Tables that a result
+    still reads stay until :func:`release` or the end of the application, whichever is first.
     """
 
     def __init__(self, spark: SparkSession):
@@ -28,19 +29,41 @@ class Scratch:
     def keep(self, df: DataFrame) -> DataFrame:
         place = f"{shared_folder(self.spark)}/llm-{uuid.uuid4().hex}"
         df.write.parquet(place)
+        path, system = _path(self.spark, place)
+        system.deleteOnExit(path)
+        _LEFT.setdefault(self.spark.sparkContext.applicationId, set()).add(place)
         out = self.spark.read.schema(df.schema).parquet(place)
         self._places[id(out)] = place
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables made by :meth:`keep` and let the driver release finished shuffles."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for table in tables:
             if place := self._places.pop(id(table), ""):
-                path = jvm.org.apache.hadoop.fs.Path(place)
-                path.getFileSystem(conf).delete(path, True)
+                _remove(self.spark, place)
         gc.collect()
-        jvm.System.gc()
+        self.spark._jvm.System.gc()
+
+
+_LEFT: dict[str, set[str]] = {}
+
+
+def _path(spark: SparkSession, place: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _remove(spark: SparkSession, place: str) -> None:
+    path, system = _path(spark, place)
+    system.delete(path, True)
+    system.cancelDeleteOnExit(path)
+    _LEFT.get(spark.sparkContext.applicationId, set()).discard(place)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all tables that calls so far have left, once their results are written or no longer wanted."""
+    for place in list(_LEFT.get(spark.sparkContext.applicationId, ())):
+        _remove(spark, place)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
