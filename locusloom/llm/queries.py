@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusloom.llm import bpe, decontaminate, fingerprints, langid, minhash, repeats, rollup, sharding, topk, toxicity, trie, warc
+from locusloom.llm import bpe, collocations, decontaminate, fingerprints, langid, minhash, repeats, rollup, sharding, topk, toxicity, trie, warc
 from locusloom.llm.tables import Scratch, read_table, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -253,3 +253,32 @@ FROM n JOIN u USING (path) LEFT JOIN k USING (path) LEFT JOIN n q ON n.depth > 0
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the prefix trie of conversations that share the openings of every hundredth."""
     return trie.prefix_trie(read_table(spark, sf_dir, "conversations"), rebuild=trie.with_shared_openings)
+
+
+PHRASES_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+      FROM w, range(1, 5) t(k), LATERAL (SELECT unnest(range(1, length(ws) - k + 2)) AS i)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND a >= 30),
+x AS MATERIALIZED (SELECT c.lang, c.k, c.phrase, c.a, ws, j, f.a AS l FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+      JOIN f ON f.lang || ' ' || f.phrase = c.lang || ' ' || array_to_string(ws[:j], ' ')),
+u AS (SELECT x.*, f.a AS r, 2000000::HUGEINT * x.a // (l::HUGEINT + f.a) AS score,
+             row_number() OVER (PARTITION BY x.lang, x.phrase ORDER BY 2000000::HUGEINT * x.a // (l::HUGEINT + f.a), j) AS cut
+      FROM x JOIN f ON f.lang || ' ' || f.phrase = x.lang || ' ' || array_to_string(ws[j + 1:], ' ')),
+b AS (SELECT lang, phrase, max(a) AS longer FROM (
+        SELECT lang, a, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+        FROM c, range(2, 4) t(m), LATERAL (SELECT unnest(range(1, k - m + 2)) AS i) WHERE m < k) GROUP BY ALL),
+s AS (SELECT u.* FROM u LEFT JOIN b USING (lang, phrase) WHERE cut = 1 AND 100::HUGEINT * coalesce(longer, 0) < 80::HUGEINT * a),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM s)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query(PHRASES_SQL)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of two to four words in each language."""
+    return collocations.collocations(read_table(spark, sf_dir, "documents"), least=30, percent=80, top=2000)

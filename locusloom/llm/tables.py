@@ -88,6 +88,22 @@ def likely_rows(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return held.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(at % 8 as int))")) != 0).select(rows.columns)
 
 
+def presence_bits(keys: DataFrame, bits: int) -> np.ndarray:
+    """``bits`` bits (a power of two), whatever the number of rows: those of ``keys (key)``, for :func:`read_bits`."""
+    slot = F.col("key").bitwiseAND(F.lit(bits - 1))
+    marks = keys.groupBy(F.shiftright(slot, 15).alias("block")).agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit(32767))).alias("bits"))
+    out = np.zeros((max(1, bits >> 15), 4096), np.uint8)
+    for row in marks.toLocalIterator():
+        out[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def read_bits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which unsigned keys may be among those of :func:`presence_bits`; those that are always are."""
+    slot = (keys & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
 def text_rows(docs: DataFrame, *columns: str) -> DataFrame:
     """``doc_id`` as long, ``text`` with null as empty, and the named columns; others are left behind."""
     return docs.select(
