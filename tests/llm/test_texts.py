@@ -1,6 +1,8 @@
 """Operators on whole texts: byte helpers, encoding, language, toxicity, decontamination."""
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -139,26 +141,66 @@ def test_toxicity_learns_marked_words(documents, spark):
     assert toxicity.held_out_scores(documents([]), labels).count() == 0
 
 
-def test_toxicity_counts_every_labelled_row(documents, spark, monkeypatch):
+class PlainModel:
+    """The two Kneser-Ney models over dictionaries, from ``(words, toxic)`` of whole texts."""
+
+    def __init__(self, texts):
+        grams = {c: {(w[j - 2] if j > 1 else None, w[j - 1], w[j]) for w, t in texts if t == c for j in range(1, len(w))} for c in (0, 1)}
+        self.pairs = {c: Counter((v, w) for _, v, w in grams[c]) for c in (0, 1)}
+        self.words = {x for c in (0, 1) for p in self.pairs[c] for x in p}
+        self.after = {c: Counter(w for _, w in self.pairs[c]) for c in (0, 1)}
+        self.context = {c: Counter() for c in (0, 1)}
+        self.kinds = {c: Counter(v for v, _ in self.pairs[c]) for c in (0, 1)}
+        for c in (0, 1):
+            for (v, _), n in self.pairs[c].items():
+                self.context[c][v] += n
+
+    @staticmethod
+    def less(counts):
+        ones, twos = (sum(n == k for n in counts.values()) for k in (1, 2))
+        return ones / (ones + 2 * twos) if ones else 0.5
+
+    def log(self, c, v, w, strength):
+        less, total = self.less(self.after[c]), sum(self.after[c].values())
+        unigram = max(self.after[c][w] - less, 0) / total + less * len(self.after[c]) / total / len(self.words) if w in self.words else 1 / len(self.words)
+        less = self.less(self.pairs[c])
+        found = max(self.pairs[c][v, w] - less, 0)
+        return math.log((found + (less * self.kinds[c][v] + strength) * unigram) / (self.context[c][v] + strength))
+
+    def evidence(self, words, strength):
+        each = [self.log(1, v, w, strength) - self.log(0, v, w, strength) for v, w in zip([None, *words], words)]
+        peak = max((sum(each[i : i + toxicity.WINDOW]) for i in range(len(each))), default=0) / toxicity.WINDOW
+        return sum(each) / max(1, len(each)), peak
+
+
+def test_toxicity_equals_dictionaries_and_counts_every_labelled_row(documents, spark, monkeypatch):
     rows = [(i, f"start{i % 7} alpha{i} beta{i % 50} gamma{i % 3}" + (" vile rot" if i % 10 == 0 else "")) for i in range(400)]
     labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
     part = (F.col("doc_id") % 4 == 3).cast("int") + F.when(F.col("doc_id") % 20 == 10, 1).otherwise(0)
-    counted = [(i, t.split()) for i, t in rows if i % 4 != 3 and i % 20 != 10]
+    counted = [(t.split(), int(i % 10 == 0)) for i, t in rows if i % 4 != 3 and i % 20 != 10]
+    plain = PlainModel(counted)
+    texts = [*rows, (None, ""), (900, None), (901, "vile rot " * 50), (901, "vile rot " * 50), (902, "Never seen START1 alpha4")]
+
+    def scores(learned):
+        assert (learned.held.value.shape["pairs"], learned.held.value.shape["words"]) == (len(plain.pairs[0] | plain.pairs[1]), len(plain.words))
+        assert learned.held.value.shape["ordinary"] == sum(plain.pairs[0].values())
+        got = toxicity.score(documents(texts), learned).toPandas().fillna(-1).itertuples(index=False, name=None)
+        return sorted(got)
+
     learned = toxicity.learn(documents(rows), labels, part, sample=5)
-    # one toxic document to every nine others: all of them count, and so do pairs that occur once
-    assert learned.shape["pairs"] == len({p for _, w in counted for p in zip(w, w[1:])})
-    assert learned.shape["words"] == len({x for _, w in counted for x in w})
-    ordinary = {(w[j - 2] if j > 1 else None, w[j - 1], w[j]) for i, w in counted if i % 10 for j in range(1, len(w))}
-    assert learned.shape["ordinary"] == len(ordinary)
-    texts = documents([*rows, (None, ""), (900, None), (901, "vile rot " * 50), (901, "vile rot " * 50)])
-    want = sorted(toxicity.score(texts, learned).toPandas().fillna(-1).itertuples(index=False, name=None))
-    for words in (learned.shape["words"], 1):  # the same figures when only the words are sent to the tasks, and when nothing is
-        monkeypatch.setattr(toxicity, "WHOLE", words)
-        monkeypatch.setattr(toxicity, "PIECE", 500)
-        joined = toxicity.learn(documents(rows), labels, part, sample=5)
-        assert joined.pairs is not None and (joined.words is None) == (words > 1)
-        got = sorted(toxicity.score(texts, joined).toPandas().fillna(-1).itertuples(index=False, name=None))
-        assert [g[0] for g in got] == [x[0] for x in want] and np.allclose([g[1] for g in got], [x[1] for x in want])
+    base, mean, peak = learned.curve
+    want = []
+    for i, t in texts:
+        m, p = plain.evidence((t or "").lower().split(), learned.strength)
+        want.append((-1 if i is None else i, 1 / (1 + math.exp(-max(-30, min(30, base + mean * m + peak * p))))))
+    want.sort()
+    got = scores(learned)
+    assert [g[0] for g in got] == [w[0] for w in want] and np.allclose([g[1] for g in got], [w[1] for w in want], atol=1e-6)
+    # All counts shared: a slot of one key has its count, so the scores are the same. And hot pairs spread over tasks.
+    monkeypatch.setattr(toxicity, "HOT", 1 << 20)
+    shared = toxicity.learn(documents(rows), labels, part, sample=5, whole=1)
+    assert len(shared.held.value.pairs.keys) <= 1 and shared.held.value.pairs.marks is not None
+    assert np.allclose([g[1] for g in scores(shared)], [w[1] for w in want], atol=1e-6)
 
 
 def contained(docs, items):
