@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locusloom.llm import bytesops
-from locusloom.llm.tables import text_rows
+from locusloom.llm.tables import bound_batches, text_rows
 
 BLOCK = 2_000_000
 KEEP = 24
@@ -154,6 +154,7 @@ def _clean(block: Items, width: int):
 
 def decontaminate(docs: DataFrame, items: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no item; each block of items filters where the rows are."""
+    bound_batches(docs.sparkSession)
     for block in item_sets(items, width, percent):
         docs = docs.mapInArrow(_clean(block, width), docs.schema)
     return docs

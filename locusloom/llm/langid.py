@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusloom.llm import bytesops
-from locusloom.llm.tables import text_rows
+from locusloom.llm.tables import bound_batches, text_rows
 
 SNIPPETS = 160
 SNIPPET = 512
@@ -137,6 +137,7 @@ def _accepted(model: dict[str, bytes], margin: float):
 
 def accepted(docs: DataFrame, model: dict[str, bytes], margin: float = MARGIN) -> DataFrame:
     """The rows of ``docs`` with all their columns whose language :func:`identify` does not reject, without moving any."""
+    bound_batches(docs.sparkSession)
     return docs.mapInArrow(_accepted(model, margin), docs.schema)
 
 

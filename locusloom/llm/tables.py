@@ -23,12 +23,13 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession):
+        bound_batches(spark)
         self.spark = spark
         self._places: dict[int, str] = {}
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
         place = f"{shared_folder(self.spark)}/llm-{uuid.uuid4().hex}"
-        df.write.parquet(place)
+        df.write.parquet(place, compression=compression)
         path, system = _path(self.spark, place)
         system.deleteOnExit(path)
         _LEFT.setdefault(self.spark.sparkContext.applicationId, set()).add(place)
@@ -60,9 +61,14 @@ def _remove(spark: SparkSession, place: str) -> None:
     _LEFT.get(spark.sparkContext.applicationId, set()).discard(place)
 
 
-def release(spark: SparkSession) -> None:
-    """Remove all tables that calls so far have left, once their results are written or no longer wanted."""
-    for place in list(_LEFT.get(spark.sparkContext.applicationId, ())):
+def left_tables(spark: SparkSession) -> set[str]:
+    """Places of the tables that results of calls so far still read."""
+    return set(_LEFT.get(spark.sparkContext.applicationId, ()))
+
+
+def release(spark: SparkSession, keep: set[str] = frozenset()) -> None:
+    """Remove the tables that calls so far have left but those in ``keep``, once the results that read them are written."""
+    for place in left_tables(spark) - keep:
         _remove(spark, place)
 
 
@@ -71,21 +77,34 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 BITMAP_BITS = 1 << 26
+BATCH_BYTES = 8 << 20
 
 
-def likely_rows(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """``rows`` without most of those whose ``doc_id`` is not in ``ids (doc_id)``, found where they are.
+def bound_batches(spark: SparkSession) -> None:
+    """Let Arrow batches end at ``BATCH_BYTES`` in this session: a batch of 10,000 rows may hold any number of bytes."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(key).rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(key, BATCH_BYTES)
+
+
+def marked_rows(rows: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """``rows`` with a column ``name``: False where ``doc_id`` is surely not in ``ids (doc_id)``, found without moving rows.
 
     A bitmap of fixed size (``BITMAP_BITS``, at most 8 MB, whatever the number of ids) is
-    broadcast, so that a join on ``doc_id`` afterwards moves few texts in vain. No row with an
-    id of ``ids`` is lost; with very many ids more others pass.
+    broadcast. True for every row whose id is in ``ids``; with very many ids for others too.
     """
     slot = lambda: F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS))
-    marks = ids.groupBy(F.bitmap_bucket_number(slot()).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot())).alias("bits"))
+    marks = ids.groupBy(F.bitmap_bucket_number(slot()).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot())).alias("_bits"))
     at = F.bitmap_bit_position(slot())
-    byte = F.conv(F.hex(F.expr("substring(bits, cast(at div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    held = rows.withColumn("bucket", F.bitmap_bucket_number(slot())).join(F.broadcast(marks), "bucket").withColumn("at", at)
-    return held.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(at % 8 as int))")) != 0).select(rows.columns)
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_at div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    held = rows.withColumn("_bucket", F.bitmap_bucket_number(slot())).join(F.broadcast(marks), "_bucket", "left").withColumn("_at", at)
+    bit = byte.bitwiseAND(F.expr("shiftleft(1, cast(_at % 8 as int))")) != 0
+    return held.select(*rows.columns, F.coalesce(bit & F.col("doc_id").isNotNull(), F.lit(False)).alias(name))
+
+
+def likely_rows(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``doc_id`` is not in ``ids (doc_id)``, so that a join moves few texts in vain."""
+    return marked_rows(rows, ids, "_likely").where("_likely").drop("_likely")
 
 
 def presence_bits(keys: DataFrame, bits: int) -> np.ndarray:
@@ -106,6 +125,7 @@ def read_bits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def text_rows(docs: DataFrame, *columns: str) -> DataFrame:
     """``doc_id`` as long, ``text`` with null as empty, and the named columns; others are left behind."""
+    bound_batches(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *columns
     )

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from test_corpus import brute_components, brute_repeats
 from test_texts import contained, sentences
 from tokenizers import Tokenizer
@@ -70,3 +71,15 @@ def test_all_texts_of_an_id_stay(documents, spark):
     got = corpus_pipeline.one_of_each(spark, documents(rows), "").select("doc_id", "text").collect()
     want = [(1, same), *((2 + 10 * i, t) for i, text in enumerate(other) for t in (same, text))]
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_columns_of_clashing_names_go_along(documents, spark):
+    same = "a b c d e f g"
+    names = ["kept", "copies", "own_id", "texts", "told", "row", "n", "rest", "spans", "n_bytes", "part", "_bits", "c0"]
+    docs = documents([(1, same), (4, same), (4, same), (5, "q w e r t y"), (6, None), (None, same)], {c: F.lit(i) for i, c in enumerate(names)})
+    for stage in (corpus_pipeline.one_of_each, corpus_pipeline.without_repeats):
+        got = stage(spark, docs, "")
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert all([r[c] for c in names] == list(range(len(names))) for r in rows)
+        assert sorted(str(r["doc_id"]) for r in rows) == ["1", "5", "6", "None"] if stage is corpus_pipeline.one_of_each else len(rows) == 6
