@@ -742,6 +742,34 @@ oracle(
      group by 1, 2, 3, 4 having count(distinct sample_id) >= 4 and max(af) >= 0.05""",
 )
 
+# Both deliveries together are all calls; a sample's fraction at a locus is that of its first record.
+oracle(
+    "stream_cohort_versions",
+    V,
+    """select chrom, pos, ref, alt, count(*) as cohort_count, round(greatest(0, max(af)), 6) as max_af from (
+       select chrom, pos, ref, alt, sample_id, arg_min(af, rec_order) as af from fx_variants group by all) q
+     group by all having count(*) >= 4 and max(af) >= 0.05""",
+)
+oracle(
+    "stream_stage_errors",
+    E,
+    """select stage, last_status, last_start_ts, last_end_ts,
+       case when last_error_ts is not null then 'failed at ' || cast(e as string) end as last_error, last_error_ts
+     from state join (select stage, e from latest) l using (stage)""",
+    STATE,
+)
+# A start comes out once the watermark has passed half an hour after it, the largest limit.
+oracle(
+    "stream_unmet_starts",
+    E,
+    """select stage, ts as start_ts, lim / 1000 as threshold_seconds, make_timestamp((s + lim) * 1000) as alert_ts from (
+       select stage, type, ts, epoch_us(ts) // 1000 as s, cast(greatest(2 * estimate_seconds, 1800) * 1000 as bigint) as lim,
+         lead(epoch_us(ts) // 1000) over (partition by stage order by ts, event_id) as nxt,
+         (select epoch_us(max(ts)) // 1000 from fx_stage_events where type in ('start', 'finish', 'error')) - 600000 as mark
+       from fx_stage_events where type in ('start', 'finish', 'error')) q
+     where type = 'start' and coalesce(nxt > s + lim, true) and s + 1800000 <= mark""",
+)
+
 oracle(
     "display_text",
     (),

@@ -10,7 +10,7 @@ from locusloom.operators import cohort
 from locusloom.plans.queries import plain_time, query, rounded
 from locusloom.plans.views import VIEWS
 from locusloom.session import shared_folder
-from locusloom.streaming import runs
+from locusloom.streaming import incremental, runs
 
 
 def _folder(spark, name):
@@ -61,3 +61,44 @@ def stream_cohort_counts(spark, sf):
     records = spark.sql(VIEWS["fx_variants"], lineitem=_stream(spark, sf, "lineitem"))
     calls = runs.collect_carriers(records, target, target + "-checkpoint", F.col("af"))
     return rounded(cohort.cohort_loci(calls), "max_af")
+
+
+def _arrivals(df, name, column):
+    """Folder that rows land in as two deliveries, by the parity of a column; yields it after each."""
+    folder = _folder(df.sparkSession, name)
+    for odd in (0, 1):
+        df.where(F.pmod(F.xxhash64(column), F.lit(2)) == odd).write.mode("append").parquet(folder)
+        yield df.sparkSession.readStream.schema(df.schema).parquet(folder)
+
+
+@query
+def stream_cohort_versions(spark, sf):
+    """Calls of half the samples, then of the others: loci counted anew only in the buckets that the second half touches."""
+    calls = spark.sql(VIEWS["fx_variants"], lineitem=spark.read.parquet(f"{sf}/lineitem.parquet"))
+    counts = incremental.cohort_counts(spark, _folder(spark, "cohort"))
+    for arrived in _arrivals(calls, "calls", "sample_id"):
+        counts.advance(incremental.arriving_carriers(arrived, "sample_id", "rec_order"))
+    return rounded(incremental.common_loci(counts.current()), "max_af")
+
+
+@query
+def stream_stage_errors(spark, sf):
+    """Stage status with the message of the latest error, after two deliveries of events."""
+    events = spark.sql(VIEWS["fx_stage_events"], events=spark.read.parquet(f"{sf}/events.parquet")).withColumnRenamed("event_id", "event_order")
+    status = incremental.stage_status(spark, _folder(spark, "status"))
+    message = F.concat(F.lit("failed at "), F.col("event_order").cast("string"))
+    for arrived in _arrivals(events, "events", "event_order"):
+        status.advance(incremental.arriving_marks(arrived, message))
+    table = incremental.stage_table(status.current()).select("stage", "last_status", "last_start_ts", "last_end_ts", "last_error", "last_error_ts")
+    return plain_time(table, "last_start_ts", "last_end_ts", "last_error_ts")
+
+
+@query
+def stream_unmet_starts(spark, sf):
+    """Starts that no mark of their stage met within the limit of half an hour, by a join of the stream with itself."""
+    target = _folder(spark, "unmet")
+    limit = (F.greatest(F.col("estimate_seconds") * 2, F.lit(1800.0)) * 1000).cast("long").alias("limit_ms")
+    marks = _stage_events(spark, sf).select("stage", "type", "ts", F.col("event_id").alias("event_order"), limit)
+    alerts = incremental.overdue_starts(marks, "30 minutes")
+    runs.append_stream(alerts, target, target + "-checkpoint")
+    return plain_time(spark.read.schema(alerts.schema).parquet(target), "start_ts", "alert_ts")
