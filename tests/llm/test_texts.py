@@ -198,6 +198,7 @@ def test_toxicity_equals_dictionaries_and_counts_every_labelled_row(documents, s
     assert [g[0] for g in got] == [w[0] for w in want] and np.allclose([g[1] for g in got], [w[1] for w in want], atol=1e-6)
     # All counts shared: a slot of one key has its count, so the scores are the same. And hot pairs spread over tasks.
     monkeypatch.setattr(toxicity, "HOT", 1 << 20)
+    monkeypatch.setattr(toxicity, "SHARED", 1 << 22)
     shared = toxicity.learn(documents(rows), labels, part, sample=5, whole=1)
     assert len(shared.held.value.pairs.keys) <= 1 and shared.held.value.pairs.marks is not None
     assert np.allclose([g[1] for g in scores(shared)], [w[1] for w in want], atol=1e-6)
