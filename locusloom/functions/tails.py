@@ -58,25 +58,29 @@ def rank_correlation_p(rho: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def hypergeometric_upper(k: np.ndarray, universe: np.ndarray, members: np.ndarray, drawn: np.ndarray) -> np.ndarray:
-    """P(X >= k) when ``drawn`` of ``universe`` items are taken and ``members`` are marked."""
-    out = np.empty(len(k), dtype=float)
-    for i, (kk, nn, mm, dd) in enumerate(zip(k, universe, members, drawn)):
-        lo, hi = max(int(kk), int(dd + mm - nn), 0), int(min(mm, dd))
-        if kk <= max(0, dd + mm - nn):
-            out[i] = 1.0
-            continue
-        if lo > hi:
-            out[i] = 0.0
-            continue
-        x = np.arange(lo, hi + 1)
-        gamma = np.vectorize(math.lgamma, otypes=[float])
-
-        def choose(top, bottom):
-            return gamma(top + 1.0) - gamma(bottom + 1.0) - gamma(top - bottom + 1.0)
-
-        logs = choose(np.full(len(x), mm), x) + choose(np.full(len(x), nn - mm), dd - x)
-        logs = logs - (math.lgamma(nn + 1) - math.lgamma(dd + 1) - math.lgamma(nn - dd + 1))
-        out[i] = min(1.0, float(np.exp(logs).sum()))
+    """P(X >= k) when ``drawn`` of ``universe`` items are taken and ``members`` are marked.
+
+    Log factorials are one prefix table, in extended precision as its last entries are large; the
+    terms of all rows lie side by side and are summed by row.
+    """
+    k, universe, members, drawn = (np.asarray(x, dtype=np.int64) for x in (k, universe, members, drawn))
+    least = np.maximum(0, drawn + members - universe)
+    low, high = np.maximum(k, least), np.minimum(members, drawn)
+    out = np.where(k <= least, 1.0, 0.0)
+    rows = np.flatnonzero((k > least) & (low <= high))
+    if not len(rows):
+        return out
+    table = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, int(universe[rows].max()) + 1, dtype=np.longdouble)))))
+
+    def choose(top, bottom):
+        return table[top] - table[bottom] - table[top - bottom]
+
+    sizes = high[rows] - low[rows] + 1
+    starts = np.cumsum(sizes) - sizes
+    row = np.repeat(rows, sizes)
+    x = np.arange(int(sizes.sum())) - np.repeat(starts, sizes) + low[row]
+    logs = choose(members[row], x) + choose(universe[row] - members[row], drawn[row] - x) - choose(universe[row], drawn[row])
+    out[rows] = np.minimum(1.0, np.add.reduceat(np.exp(logs), starts).astype(float))
     return out
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusloom.session import cut_lineage
+
 LOCUS = ["chrom", "pos", "ref", "alt"]
 
 
@@ -14,6 +16,14 @@ def median_length(intervals: DataFrame, start: str = "start", end: str = "end")
     return max(1, int(intervals.agg(length).first()[0] or 1))
 
 
+def bin_widths(width: int) -> list[int]:
+    """Widths of the levels of bins, each eight times the one below, up to more than any length."""
+    widths = [width]
+    while widths[-1] < 1 << 60:
+        widths.append(8 * widths[-1])
+    return widths
+
+
 def interval_join(
     points: DataFrame,
     intervals: DataFrame,
@@ -26,27 +36,31 @@ def interval_join(
 ) -> DataFrame:
     """Rows of ``points`` whose position lies in ``[start, end]`` of an interval of the same group.
 
-    Intervals are listed once per bin they touch and points fall into one bin, so the
-    join is an equality on (group, bin) with the range as a residual, and a pair can
-    match only once. Spark broadcasts the intervals when their size allows. Where it
-    cannot and positions repeat heavily, ``salts`` spreads each bin over several tasks.
+    Bins come in levels, each eight times as wide as the one below; ``bin_size`` is the lowest
+    width. An interval is listed on the lowest level whose bins are as long as itself, so in two
+    bins at most, however long it is. A point asks its one bin on every level that there is, so
+    the join is an equality on (group, level, bin) with the range as a residual, and a pair can
+    match only once. Intervals without a start or end, or with the end before the start, hold
+    nothing. Spark broadcasts the intervals when their size allows. Where it cannot and positions
+    repeat heavily, ``salts`` spreads each bin over several tasks.
     """
-    width = bin_size or median_length(intervals, start, end)
-
-    def bin_of(column):
-        return F.floor(F.col(column) / F.lit(width)).cast("long")
-
-    left = points.withColumn("_bin", bin_of(pos))
-    right = intervals.filter(F.col(start) <= F.col(end)).withColumn(
-        "_bin", F.explode(F.sequence(bin_of(start), bin_of(end)))
-    )
-    keys = [group, "_bin"]
+    widths = bin_widths(bin_size or median_length(intervals, start, end))
+    table = F.array(*map(F.lit, widths))
+    length = F.col(end) - F.col(start) + 1
+    right = intervals.filter(F.col(start) <= F.col(end)).withColumn("_level", F.size(F.filter(table, lambda w: w < length)))
+    levels = sorted(r["_level"] for r in right.select("_level").distinct().collect()) or [0]  # at most one per width
+    width = F.get(table, F.col("_level"))
+    bins = F.sequence(F.floor(F.col(start) / width).cast("long"), F.floor(F.col(end) / width).cast("long"))
+    right = right.withColumn("_bin", F.explode(bins))
+    asked = F.array(*(F.struct(F.lit(n).alias("_level"), F.floor(F.col(pos) / F.lit(widths[n])).cast("long").alias("_bin")) for n in levels))
+    left = points.select("*", F.inline(asked))
+    keys = [group, "_level", "_bin"]
     if salts > 1:
         spread = F.xxhash64(*[F.col(c) for c in points.columns])
         left = left.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
         right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         keys.append("_salt")
-    return left.join(right, keys).filter(F.col(pos).between(F.col(start), F.col(end))).drop("_bin", "_salt")
+    return left.join(right, keys).filter(F.col(pos).between(F.col(start), F.col(end))).drop("_level", "_bin", "_salt")
 
 
 def merge_spans(genes: DataFrame) -> DataFrame:
@@ -63,9 +77,10 @@ def annotate_variants(loci: DataFrame, genes: DataFrame, bin_size: int | None =
     """Long variant-to-gene table of distinct loci; loci outside every gene are dropped.
 
     Distinct loci bound the rows per bin by the bin's positions, so no bin can be hot,
-    and merged spans make a second de-duplication unnecessary.
+    and merged spans make a second de-duplication unnecessary. The spans are written once, so
+    that the join is planned from their size.
     """
-    spans = merge_spans(genes.select("chrom", "start", "end", "strand", "gene_id", "gene_name"))
+    spans = cut_lineage(merge_spans(genes.select("chrom", "start", "end", "strand", "gene_id", "gene_name")))
     joined = interval_join(loci.select(*LOCUS), spans, bin_size=bin_size)
     return joined.select(
         "chrom", "pos", "ref", F.substring_index("alt", ",", 1).alias("alt"), "gene_id", "gene_name", "strand"

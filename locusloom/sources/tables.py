@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from locusloom.functions.text import INTEGRATION_SUFFIXES, file_name, normalize_sample_id
 from locusloom.operators.checks import InputError, require_columns, require_rows
-from locusloom.operators.ordered import ordered_scan
 from locusloom.session import cut_lineage
 from locusloom.sources.lines import number_lines, read_lines
 
@@ -89,8 +88,9 @@ def read_cell_variants(spark: SparkSession, paths: str | Sequence[str], vcf: boo
 
 
 def _number_kept(lines: DataFrame) -> DataFrame:
-    scanned = ordered_scan(lines, ["file_path"], "line_order", {"_k": F.lit(1)})
-    return scanned.withColumn("idx", F.col("_k_before") + 1)
+    """``idx`` from 1 over the kept lines of a file: numbered after the filter, from counts per split, so no line moves."""
+    kept = number_lines(lines.withColumn("line_order", F.monotonically_increasing_id()))
+    return kept.withColumn("idx", F.col("line_no") + 1)
 
 
 def read_cell_map(spark: SparkSession, path: str) -> DataFrame:

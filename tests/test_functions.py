@@ -1,6 +1,7 @@
 """Edge cases of the string expressions and the tail functions."""
 
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -126,3 +127,15 @@ def test_hypergeometric_tail_by_counting():
             ) / math.comb(universe, drawn)
             got = tails.hypergeometric_upper(*[np.array([v]) for v in (k, universe, members, drawn)])[0]
             assert got == pytest.approx(want, abs=1e-12)
+
+
+def test_hypergeometric_tail_of_many_rows_to_twelve_digits():
+    rng = np.random.default_rng(7)
+    universe = rng.integers(1, 900, 300)
+    members, drawn = (rng.integers(0, universe + 1) for _ in range(2))
+    k = rng.integers(0, np.minimum(members, drawn) + 2)
+    got = tails.hypergeometric_upper(k, universe, members, drawn)
+    for kk, n, m, d, p in zip(k.tolist(), universe.tolist(), members.tolist(), drawn.tolist(), got):
+        exact = Fraction(sum(math.comb(m, x) * math.comb(n - m, d - x) for x in range(kk, min(m, d) + 1) if d - x >= 0), math.comb(n, d))
+        assert abs(p - float(exact)) <= 1e-12 * max(float(exact), 1e-300)
+    assert tails.hypergeometric_upper(*[np.zeros(0, int)] * 4).tolist() == []
