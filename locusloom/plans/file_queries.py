@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locusloom.functions.text import file_name
-from locusloom.operators import association, checks, folds, intervals, runlog
+from locusloom.operators import association, cells, checks, folds, intervals, runlog
 from locusloom.operators.checks import InputError
 from locusloom.plans import files
 from locusloom.plans.oracles import ORACLES, oracle
@@ -16,6 +16,7 @@ from locusloom.plans.queries import (
     METRICS,
     cluster_sums,
     full_cohort_records,
+    gene_burden_wide,
     integrated,
     listed_files,
     merged_reads,
@@ -26,7 +27,7 @@ from locusloom.plans.queries import (
     vcf_folder,
 )
 from locusloom.plans.views import view
-from locusloom.session import shared_folder
+from locusloom.session import cut_lineage, shared_folder
 from locusloom.sources import genomic, lines, tables, writers
 
 
@@ -530,3 +531,126 @@ oracle(
        cast(count(distinct gsm) as int) as most, cast(1 as bigint) as observed, false as complete
      from fx_customers where cast(substr(gsm, 2, 2) as int) < 9""",
 )
+
+
+@query
+def first_sheet_rows(spark, sf):
+    """First row per sample of a sheet that lists a sample many times."""
+    sheet = view(spark, sf, "orders").select(
+        F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("sample_id"), F.col("o_orderstatus").alias("condition"),
+        F.col("o_orderpriority").alias("run_id"), F.col("o_orderkey").alias("line_no"),
+    )
+    return association.first_metadata(sheet, "line_no").select("sample_id", "condition", "run_id")
+
+
+oracle(
+    "first_sheet_rows",
+    (),
+    """select 'S' || cast(o_custkey as string) as sample_id, arg_min(o_orderstatus, o_orderkey) as condition,
+       arg_min(o_orderpriority, o_orderkey) as run_id from orders group by 1""",
+)
+
+
+@query
+def burden_matrix_file(spark, sf):
+    """The wide gene matrix as a TSV (K4), read back."""
+    place = _place(spark, "burden.tsv")
+    wide = gene_burden_wide(spark, sf)
+    writers.write_tsv(wide, place)
+    return tables.read_tsv(spark, place, wide.schema)
+
+
+ORACLES["burden_matrix_file"] = ORACLES["gene_burden_wide"]
+
+
+@query
+def matrix_shape_check(spark, sf):
+    """Samples whose allele and depth matrices or variant lists don't fit each other."""
+    rows = cut_lineage(variants(spark, sf).select("sample_id", "cell", "af", "qd"))
+
+    def shape(some):
+        return some.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("cell").alias("n_cols"))
+
+    listed = rows.where("sample_id <> 'S03'")
+    return cells.matrix_shape_violations(shape(rows), shape(rows.where("sample_id < 'S08' or (sample_id <> 'S11' and qd > 5)")), listed)
+
+
+oracle(
+    "matrix_shape_check",
+    ("fx_variants",),
+    """select sample_id, ad_rows, ad_cols, dp_rows, dp_cols, n_variants
+     from (select sample_id, count(*) as ad_rows, count(distinct cell) as ad_cols from fx_variants group by 1) a
+     left join (select sample_id, count(*) as dp_rows, count(distinct cell) as dp_cols from fx_variants
+       where sample_id < 'S08' or (sample_id <> 'S11' and qd > 5) group by 1) d using (sample_id)
+     left join (select sample_id, count(*) as n_variants from fx_variants where sample_id <> 'S03' group by 1) v using (sample_id)
+     where ad_rows is distinct from dp_rows or ad_cols is distinct from dp_cols or ad_rows is distinct from n_variants""",
+)
+
+
+@query
+def write_counters(spark, sf):
+    """Counters that fill in while a table is written (A36), as one row."""
+    rows, seen = checks.counted(
+        variants(spark, sf), f"written-{uuid.uuid4().hex}", n_chrom1=F.count_if(F.col("chrom") == "chr1"), max_pos=F.max("pos")
+    )
+    rows.write.parquet(_place(spark, "calls"))
+    counts = checks.require_counts(seen, "no calls")
+    return spark.createDataFrame([(counts["rows"], counts["n_chrom1"], counts["max_pos"])], "n_rows long, n_chrom1 long, max_pos long")
+
+
+oracle(
+    "write_counters",
+    ("fx_variants",),
+    "select count(*) as n_rows, count(*) filter (where chrom = 'chr1') as n_chrom1, max(pos) as max_pos from fx_variants",
+)
+
+
+@query
+def table_previews(spark, sf):
+    """Previews of the given tables (O8): columns, first names and a bounded number of rows."""
+    found = []
+    for name in ("orders", "customer", "nation", "region"):
+        seen = runlog.table_preview(view(spark, sf, name), max_rows=100, max_columns=2)
+        found.append((name, ",".join(seen["header"]), seen["rows_sampled"], seen["truncated"]))
+    return spark.createDataFrame(found, "name string, header string, rows_sampled long, truncated boolean")
+
+
+oracle(
+    "table_previews",
+    (),
+    " union all ".join(
+        f"select '{t}' as name, '{h}' as header, least(count(*), 100) as rows_sampled, count(*) >= 100 as truncated from {t}"
+        for t, h in (("orders", "o_orderkey,o_custkey"), ("customer", "c_custkey,c_name"), ("nation", "n_nationkey,n_name"), ("region", "r_regionkey,r_name"))
+    ),
+)
+
+
+@query
+def tool_log_inference(spark, sf):
+    """Steps of logs in which the indexing step prints no times: its neighbours' marks give them."""
+    date = F.date_format(F.col("ts").cast("timestamp"), "MMMM d, yyyy, h:mm:ss a")
+    done = F.concat(F.lit("["), date, F.lit(" UTC] picard.AddOrReplaceReadGroups done. Elapsed time: "), F.round("value", 2).cast("string"), F.lit(" minutes."))
+    started = F.concat(F.lit("INFO SplitNCigarReads - Start Date/Time: "), date, F.lit(" UTC"))
+    kind = F.col("event_type")
+    rows = view(spark, sf, "events").select(
+        F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("sample_id"), F.col("event_id").alias("line_no"),
+        F.when(kind == "click", done).when(kind == "view", "CMD: samtools index x.bam").when(kind == "purchase", started).otherwise("INFO other").alias("line"),
+    )
+    return plain_time(runlog.step_timeline(rows), "start_ts", "end_ts")
+
+
+oracle(
+    "tool_log_inference",
+    (),
+    """select sample_id, step, start_ts, end_ts, minutes, done, start_inferred, end_inferred from (
+       select sample_id, 'AddOrReplaceReadGroups' as step, cast(null as timestamp) as start_ts, c as end_ts, m as minutes, true as done,
+         false as start_inferred, false as end_inferred from w where c is not null
+       union all select sample_id, 'samtools index', c, p, case when p >= c then (epoch_us(p) / 1e6 - epoch_us(c) / 1e6) / 60 end, p is not null,
+         c is not null, p is not null from w where v
+       union all select sample_id, 'SplitNCigarReads', p, null, null, false, false, false from w where p is not null) q""",
+    """
+w as (select 'S' || cast(user_id as string) as sample_id, bool_or(event_type = 'view') as v,
+  arg_max(date_trunc('second', ts), event_id) filter (where event_type = 'click') as c,
+  arg_max(round(value, 2), event_id) filter (where event_type = 'click') as m,
+  arg_max(date_trunc('second', ts), event_id) filter (where event_type = 'purchase') as p from events group by 1)""",
+)
