@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import partial, reduce
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +21,9 @@ from locusloom.session import cut_lineage
 # Metadata columns kept beside the metrics.
 METADATA_COLUMNS = ["condition", "run_id", "sample_title", "gsm"]
 
+#: Numbers of a band of the rank product that a task holds (64 MB).
+BAND = 2**23
+
 
 def regroup_mutation_burden(burden: DataFrame) -> DataFrame:
     """Sums per normalised sample id, every column prefixed with ``mutation_``."""
@@ -51,6 +58,10 @@ def integrate_samples(
     return merged.orderBy("sample_id")
 
 
+def _named(column: str) -> Column:
+    return F.col(f"`{column}`")
+
+
 def numeric_columns(df: DataFrame, sample: str = "sample_id") -> list[str]:
     return [f.name for f in df.schema.fields if f.name != sample and isinstance(f.dataType, T.NumericType)]
 
@@ -69,7 +80,7 @@ def _missing_counts(wide: DataFrame, metrics: Sequence[str]) -> dict[tuple[str,
     row per pair of columns comes back.
     """
     n = len(metrics)
-    flags = wide.select(F.array(*[F.col(m).isNotNull() for m in metrics]).alias("has")).filter(F.exists("has", lambda h: ~h))
+    flags = wide.select(F.array(*[_named(m).isNotNull() for m in metrics]).alias("has")).filter(F.exists("has", lambda h: ~h))
 
     def places(wanted: bool) -> Column:
         return F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get("has", i) == wanted)
@@ -81,18 +92,56 @@ def _missing_counts(wide: DataFrame, metrics: Sequence[str]) -> dict[tuple[str,
     }
 
 
+def _band_products(batches: Iterator[pa.RecordBatch], centre: np.ndarray, pairs: np.ndarray, start: int, stop: int) -> Iterator[pa.RecordBatch]:
+    """Sums of products of centred ranks over a task's samples, for pairs whose first ranking is in a band.
+
+    ``centre`` has the mean rank of each ranking and ``pairs`` the columns a, b, i, j (metrics and
+    rankings). A task keeps one matrix of band by rankings and sends one row per pair when its samples end.
+    """
+    n = len(centre)
+    products, squares = np.zeros((stop - start, n)), np.zeros(n)
+    rows = max(1, 2**21 // n)
+    for batch in batches:
+        lists = batch.column(0)
+        for first in range(0, len(lists), rows):
+            part = lists.slice(first, rows)
+            cells = part.flatten()
+            row = np.repeat(np.arange(len(part)), pc.list_value_length(part).to_numpy(zero_copy_only=False))
+            ranking, rank = (cells.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            place = row * n + ranking
+            if len(np.unique(place)) < len(place):
+                raise ValueError("a sample has more than one row")
+            block = np.zeros(len(part) * n)
+            block[place] = rank - centre[ranking]
+            block = block.reshape(len(part), n)
+            products += block[:, start:stop].T @ block
+            squares += (block * block).sum(axis=0)
+    a, b, i, j = pairs
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(a), pa.array(b), pa.array(squares[i]), pa.array(squares[j]), pa.array(products[i - start, j])],
+        ["a", "b", "vx", "vy", "xy"],
+    )
+
+
 def spearman_pairs(wide: DataFrame, metrics: Sequence[str] | None = None, sample: str = "sample_id") -> DataFrame:
-    """Rank correlation of every metric pair over the samples that have both.
+    """Rank correlation of every metric pair over the samples that have both; NaN is a missing value.
 
     A pair needs three samples and two distinct values on each side. Each metric is
     ranked once; where a partner is missing in some samples it is ranked once more for
-    all partners missing in the same samples. The sums of a pair are then taken over
-    the samples' rank lists and combined inside each task, so the shuffle carries one
-    row per pair and task, and the plan does not grow with the number of metrics. The
-    sample table is read several times and is written to the shared folder first.
+    all partners missing in the same samples. Both rankings of a pair so cover the same
+    samples, and centred ranks that are zero elsewhere make all pairs one matrix product:
+    each task multiplies blocks of its samples and sends one row per pair, however many
+    samples it has. Beyond 2,896 rankings the product is cut into bands of 64 MB, each a
+    pass over the ranked table. The sample table is read several times and is written to
+    the shared folder first; a sample with more than one row is an error.
     """
-    wide = cut_lineage(wide)
-    metrics = list(metrics or numeric_metrics(wide, sample))
+    floats = {f.name for f in wide.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    wide = cut_lineage(
+        wide.select(*(F.when(~F.isnan(_named(c)), _named(c)).alias(c) if c in floats else _named(c) for c in wide.columns))
+    )
+    columns = list(metrics or numeric_columns(wide, sample))
+    filled = wide.agg(*[F.count(_named(c)).alias(c) for c in columns]).first()
+    metrics = [c for c in columns if metrics or filled[c]]
     missing = _missing_counts(wide, metrics)
     family: dict[str, str] = {}
     for m in metrics:
@@ -106,52 +155,48 @@ def spearman_pairs(wide: DataFrame, metrics: Sequence[str] | None = None, sample
         return rankings.setdefault((metric, need), len(rankings))
 
     number = {m: i for i, m in enumerate(metrics)}
-    pairs = [(number[a], number[b], ranking(a, b), ranking(b, a)) for a, b in combinations(metrics, 2)]
+    pairs = np.array(
+        [(number[a], number[b], ranking(a, b), ranking(b, a)) for a, b in combinations(metrics, 2)], dtype=np.int32
+    ).reshape(-1, 4)
+    covered = np.array([filled[m] - missing.get((m, need), 0) for m, need in rankings], dtype=np.int64)
     cells = ", ".join(
         f"named_struct('ranking', {n}, 'value', if(`{need}` is not null, cast(`{metric}` as double), null))"
         for (metric, need), n in rankings.items()
     )
-    long = wide.select(sample, F.expr(f"inline(array({cells}))")).filter("value is not null and not isnan(value)")
+    spark = wide.sparkSession
+    if not rankings:
+        return spark.createDataFrame([], "metric_x string, metric_y string, pair_order int, n_samples bigint, spearman_rho double")
+    long = wide.select(sample, F.expr(f"inline(array({cells}))")).filter("value is not null")
     ranked = average_rank(long, ["ranking"], "value")
     # One entry per ranking, so the list of a sample is as long as the table is wide.
-    lists = ranked.groupBy(sample).agg(F.map_from_entries(F.collect_list(F.struct("ranking", "rank"))).alias("ranks"))
-    # Two lists of numbers per metric, whatever the number of pairs.
-    table = [[-1] * len(metrics) for _ in metrics]
-    for a, b, i, j in pairs:
-        table[a][b], table[b][a] = i, j
-    place = F.from_json(F.lit(str(table)), "array<array<int>>")
-    last = F.lit(len(metrics) - 1)
-    both = (
-        lists.select("ranks", F.explode(F.sequence(F.lit(0), last - 1)).alias("a"))
-        .select("ranks", "a", F.explode(F.sequence(F.col("a") + 1, last)).alias("b"))
-        .select("ranks", "a", "b", F.get(F.get(place, F.col("a")), F.col("b")).alias("i"), F.get(F.get(place, F.col("b")), F.col("a")).alias("j"))
-        .select("a", "b", F.try_element_at("ranks", F.col("i")).alias("x"), F.try_element_at("ranks", F.col("j")).alias("y"))
-    )
-    sums = (
-        both.filter("x is not null and y is not null")
-        .groupBy("a", "b")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("x").alias("sx"),
-            F.sum("y").alias("sy"),
-            F.sum(F.col("x") * F.col("x")).alias("sxx"),
-            F.sum(F.col("y") * F.col("y")).alias("syy"),
-            F.sum(F.col("x") * F.col("y")).alias("sxy"),
-            (F.min("x") < F.max("x")).alias("x_varies"),
-            (F.min("y") < F.max("y")).alias("y_varies"),
-        )
-        .withColumn("vx", F.expr("n * sxx - sx * sx"))
-        .withColumn("vy", F.expr("n * syy - sy * sy"))
-        .filter("n >= 3 and x_varies and y_varies")
-    )
+    lists = ranked.groupBy(sample).agg(F.collect_list(F.struct("ranking", "rank")).alias("ranks")).select("ranks")
+    band = max(1, BAND // len(rankings))
+    if band < len(rankings):
+        lists = cut_lineage(lists)
+
+    def products(start: int) -> DataFrame:
+        own = pairs[(pairs[:, 2] >= start) & (pairs[:, 2] < start + band)].T.copy()
+        work = partial(_band_products, centre=(covered + 1) / 2, pairs=own, start=start, stop=min(start + band, len(rankings)))
+        return lists.mapInArrow(work, "a int, b int, vx double, vy double, xy double")
+
+    parts = reduce(DataFrame.unionByName, [products(start) for start in range(0, len(rankings), band)])
+    sums = parts.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("vx", "vy", "xy")]).filter("vx > 0 and vy > 0")
+    # A number per pair of columns, whatever the number of samples.
+    sizes = np.zeros((len(metrics), len(metrics)), dtype=np.int64)
+    sizes[pairs[:, 0], pairs[:, 1]] = covered[pairs[:, 2]]
+    size = F.get(F.get(F.from_json(F.lit(str(sizes.tolist())), "array<array<bigint>>"), F.col("a")), F.col("b"))
     names = F.array(*[F.lit(m) for m in metrics])
-    rho = F.expr("least(1.0D, greatest(-1.0D, (n * sxy - sx * sy) / sqrt(vx * vy)))")
-    return sums.select(
-        F.get(names, F.col("a")).alias("metric_x"),
-        F.get(names, F.col("b")).alias("metric_y"),
-        (F.col("a") * len(metrics) + F.col("b")).alias("pair_order"),
-        F.col("n").alias("n_samples"),
-        rho.alias("spearman_rho"),
+    rho = F.expr("least(1.0D, greatest(-1.0D, xy / sqrt(vx * vy)))")
+    return (
+        sums.withColumn("n", size)
+        .filter("n >= 3")
+        .select(
+            F.get(names, F.col("a")).alias("metric_x"),
+            F.get(names, F.col("b")).alias("metric_y"),
+            (F.col("a") * len(metrics) + F.col("b")).alias("pair_order"),
+            F.col("n").alias("n_samples"),
+            rho.alias("spearman_rho"),
+        )
     )
 
 
