@@ -173,12 +173,13 @@ def grouped_permutation(
     max_exact: int = 10_000,
     n_random: int = 1_000,
     seed: int = 42,
+    max_fit_samples: int = rs.MAX_FIT_SAMPLES,
 ) -> tuple[DataFrame, DataFrame]:
-    """Scores of all labelings and the p-value table."""
+    """Scores of all labelings and the p-value table; at most ``max_fit_samples`` samples are fitted on, all are predicted."""
     table, exact = fold_tables.group_labelings(samples, group, y, max_exact, n_random, seed)
     # Bounded: at most max_exact or n_random labelings of the groups.
     sets = [r[0] for r in table.orderBy("permutation_id").select("positive_groups").collect()]
-    predictions = rs.written(rs.logo_predictions(burden, samples, y, group, labels, sample, title, sets))
+    predictions = rs.written(rs.logo_predictions(burden, samples, y, group, labels, sample, title, sets, max_fit_samples=max_fit_samples))
     scores = rs.written(permutation_scores(predictions, table))
     n_groups = samples.select(group).distinct().count()
     return scores, permutation_summary(scores, exact, len(sets[0]), n_groups)

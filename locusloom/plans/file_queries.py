@@ -138,11 +138,10 @@ ORACLES["cohort_vcf_file"] = ORACLES["cohort_records"]
 
 @query
 def vcf_header(spark, sf):
-    """Header lines of the first file by name (S5), numbered."""
+    """How many header lines the first file by name has (S5), and the smallest of them."""
     folder = vcf_folder(spark, sf)
     first = lines.list_files(spark, folder).agg(F.min("path")).first()[0]
-    found = genomic.vcf_header(spark, first)
-    return spark.range(1).select(F.lit(len(found)).cast("long").alias("lines"), F.lit(sorted(set(found))[0]).alias("line"))
+    return genomic.vcf_header_lines(spark, first).agg(F.count(F.lit(1)).alias("lines"), F.min("value").alias("line"))
 
 
 oracle(

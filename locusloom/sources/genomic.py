@@ -52,10 +52,14 @@ def read_vcf(
     return records.withColumn("af", allele_fraction(F.col("format"), F.col("sample"), missing_af))
 
 
+def vcf_header_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(line_order, value)`` of the lines of one file that start with ``#``."""
+    return read_lines(spark, path).filter(F.startswith("value", F.lit("#"))).select("line_order", "value")
+
+
 def vcf_header(spark: SparkSession, first_path: str) -> list[str]:
-    """Header lines of one file; a header is small by the format."""
-    lines = read_lines(spark, first_path).filter(F.startswith("value", F.lit("#")))
-    return [r["value"] for r in lines.orderBy("line_order").collect()]
+    """Header lines of one file as a list, for the writer; a header is small by the format."""
+    return [r["value"] for r in vcf_header_lines(spark, first_path).orderBy("line_order").collect()]
 
 
 def info_numbers(keys: Sequence[str], info: str = "info") -> Mapping[str, Column]:

@@ -145,6 +145,16 @@ def test_grouped_permutation_counts_all_labelings(spark, cohort):
         assert r["class_balance_preserved"] == "3 positive groups / 3 negative groups"
 
 
+def test_grouped_permutation_passes_its_fit_bound_on(spark, cohort):
+    """A bound below the cohort leaves samples out of the fits, but no labeling and no prediction out of the scores."""
+    _, _, _, _, samples, burden = cohort
+    scores, _ = validation.grouped_permutation(burden, samples, "y", "gsm", LABELS, max_fit_samples=10)
+    sets = [["g1", "g3", "g5"]]
+    bounded = resampling.logo_predictions(burden, samples, "y", "gsm", LABELS, labelings=sets, max_fit_samples=10).collect()
+    assert scores.count() == math.comb(6, 3)
+    assert len(bounded) == len(resampling.logo_predictions(burden, samples, "y", "gsm", LABELS, labelings=sets).collect()) == 12
+
+
 def test_report_has_one_row_per_analysis(spark, cohort):
     _, _, _, _, samples, burden = cohort
     cv = resampling.written(resampling.repeated_cv(burden, samples, "y", "gsm", LABELS, n_folds=3, repeats=2))
