@@ -393,15 +393,16 @@ def whitelist_barcodes(spark, sf):
 
 
 def integrated(spark, sf):
-    """All summaries from one scan of the calls, which are written once."""
+    """All summaries from one scan of the calls, which are written once, as are their distinct cells."""
     calls = cut_lineage(variants(spark, sf))
     given = {"fx_variants": calls}
+    given["fx_cells"] = cut_lineage(view(spark, sf, "fx_cells", given))
     loci = cohort.cohort_loci(calls, order="rec_order")
     long = burden.burden_long(calls, intervals.annotate_variants(loci, genes(spark, sf), BIN))
     counts = cells.cell_allele_counts(view(spark, sf, "fx_observed", given), view(spark, sf, "fx_sites", given))
     sums = cells.cluster_allele_sums(counts, cells.cluster_lookup(view(spark, sf, "fx_cluster_map", given)))
     samples = view(spark, sf, "fx_samples")
-    detected = calls.select(
+    detected = given["fx_cells"].select(
         "sample_id", F.concat(F.lit("solo/"), "sample_id", F.lit("/Gene/filtered/barcodes.tsv")).alias("file_path"), "cell"
     )
     return association.integrate_samples(
@@ -409,7 +410,7 @@ def integrated(spark, sf):
         association.regroup_mutation_burden(spectra.mutation_burden(calls)),
         spectra.spectrum_totals(calls),
         cells.cluster_metrics(sums),
-        cells.first_file_cells(detected.distinct()),
+        cells.first_file_cells(detected),
         association.first_metadata(samples),
     )
 
