@@ -60,11 +60,11 @@ class Text:
         if seed:
             hashed = bytesops.mix(hashed + np.uint64(seed) * STEP)
         self.words = np.where(hashed == END, np.uint64(1), hashed)
-        row = np.repeat(np.arange(len(offsets) - 1), np.diff(firsts))
-        passed = np.cumsum(separator[data])[self.starts] if len(data) else np.zeros(0, np.int64)
+        row = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(firsts))
+        passed = np.searchsorted(np.flatnonzero(separator[data]), self.starts)
         new = np.ones(len(row), bool)
         new[1:] = (row[1:] != row[:-1]) | (passed[1:] != passed[:-1])
-        self.run = np.cumsum(new)
+        self.run = np.cumsum(new, dtype=np.int32)
         langs = batch.column("lang").dictionary_encode()
         self.names = langs.dictionary
         self.lang = langs.indices.to_numpy(zero_copy_only=False)[row] if len(row) else row
@@ -85,12 +85,11 @@ def phrase_hashes(seeds: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[Text]:
+def _stripes_of(batches: Iterator[pa.RecordBatch], seed: int, count) -> Iterator[pa.RecordBatch]:
+    """``count`` of every piece's text. Nothing here keeps a piece, so that a worker holds one of them at a time."""
     for whole in batches:
         for batch in bytesops.pieces(whole, "text", PIECE):
-            text = Text(batch, seed)
-            if len(text.words):
-                yield text
+            yield from count(Text(batch, seed))
 
 
 def _heads(*columns: np.ndarray) -> np.ndarray:
@@ -107,8 +106,8 @@ def _lists(values: pa.Array, heads: np.ndarray) -> pa.Array:
 def _vocabulary(seed: int):
     """Stripes of the empty prefix: ``(lang, segment, nexts, counts, words)``."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for text in _pieces(batches, seed):
+    def count(text: Text) -> Iterator[pa.RecordBatch]:
+        if len(text.words):
             order = np.argsort(text.words, kind="stable")
             order = order[np.argsort(text.lang[order], kind="stable")] if len(text.names) > 1 else order
             heads = _heads(text.words[order], text.lang[order])
@@ -124,18 +123,15 @@ def _vocabulary(seed: int):
             ]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "segment", "nexts", "counts", "words"])
 
-    return run
+    return lambda batches: _stripes_of(batches, seed, count)
 
 
 def _stripes(seed: int, size: int, marks: Broadcast, hot: np.ndarray):
     """Stripes of prefixes of ``size`` words: ``(lang, p1..., segment, nexts, counts)``; ``hot`` are sorted phrase hashes of words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = marks.value
-        for text in _pieces(batches, seed):
-            n = len(text.words) - size + 1
-            if n <= 0:
-                continue
+    def count(text: Text) -> Iterator[pa.RecordBatch]:
+        bits, n = marks.value, len(text.words) - size + 1
+        if n > 0:
             seeds = text.seeds[text.lang]
             prefix = [text.words[j : n + j] for j in range(size)]
             whole = phrase_hashes(seeds[:n], prefix)
@@ -162,7 +158,7 @@ def _stripes(seed: int, size: int, marks: Broadcast, hot: np.ndarray):
             ]
             yield pa.RecordBatch.from_arrays(columns, ["lang", *(f"w{j + 1}" for j in range(size)), "segment", "nexts", "counts"])
 
-    return run
+    return lambda batches: _stripes_of(batches, seed, count)
 
 
 def _keys(width: int):
