@@ -70,8 +70,13 @@ class Text:
         self.lang = langs.indices.to_numpy(zero_copy_only=False)[row] if len(row) else row
         self.seeds = language_seeds(self.names)
 
-    def word(self, i: int) -> str:
-        return bytes(self.data[self.starts[i] : self.ends[i]]).lower().decode("utf-8")
+    def spelled(self, at: np.ndarray) -> pa.Array:
+        """The words at ``at``, lower-cased; they end at ASCII bytes, so each is whole UTF-8."""
+        starts, sizes = self.starts[at], self.ends[at] - self.starts[at]
+        offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+        found = self.data[np.arange(offsets[-1], dtype=np.int32) + np.repeat((starts - offsets[:-1]).astype(np.int32), sizes)]
+        found[(found >= 0x41) & (found <= 0x5A)] += 0x20
+        return pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(found))
 
 
 def language_seeds(names: pa.Array) -> np.ndarray:
@@ -119,7 +124,7 @@ def _vocabulary(seed: int):
             columns = [
                 text.names.take(pa.array(text.lang[first[cut]])), pa.array(segment[cut]),
                 _lists(pa.array(text.words[first].view(np.int64)), cut), _lists(pa.array(counts), cut),
-                _lists(pa.array([text.word(i) for i in first.tolist()], pa.string()), cut),
+                _lists(text.spelled(first), cut),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "segment", "nexts", "counts", "words"])
 
