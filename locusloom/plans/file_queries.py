@@ -28,7 +28,7 @@ from locusloom.plans.queries import (
 )
 from locusloom.plans.views import view
 from locusloom.session import cut_lineage, shared_folder
-from locusloom.sources import genomic, lines, tables, writers
+from locusloom.sources import blockgzip, genomic, lines, tables, writers
 
 
 def _place(spark, name: str) -> str:
@@ -152,6 +152,20 @@ oracle(
 )
 
 
+@query
+def block_gzip_lines(spark, sf):
+    """All VCF lines written to block-gzip files and read in ranges of 128 kB, with their numbers in their file."""
+    place = _place(spark, "vcf")
+    ordered = view(spark, sf, "fx_vcf_lines").repartitionByRange("file_path", "rec_order").sortWithinPartitions("file_path", "rec_order")
+    blockgzip.write_block_lines(ordered, place)
+    numbered = lines.number_lines(blockgzip.read_block_lines(spark, place, 128 << 10))
+    firsts = numbered.groupBy("file_path").agg((F.count_distinct("line_no") == F.max("line_no") + 1).alias("numbered"))
+    return numbered.join(firsts, "file_path").select("value", "numbered")
+
+
+oracle("block_gzip_lines", ("fx_variants", "fx_vcf_lines"), "select value, true as numbered from fx_vcf_lines")
+
+
 @query
 def vcf_files(spark, sf):
     """Files found below a folder, with the sample each belongs to (S1 listing, P1)."""

@@ -17,6 +17,7 @@ from locusloom.functions.text import (
 from locusloom.operators.checks import require_rows
 from locusloom.operators.intervals import gene_intervals
 from locusloom.session import cut_lineage
+from locusloom.sources.blockgzip import read_block_lines
 from locusloom.sources.lines import number_lines, read_lines
 
 # The columns of a VCF record and of a GTF row, in file order.
@@ -46,9 +47,15 @@ def read_vcf(
     min_columns: int = 5,
     suffixes: Sequence[str] = INTEGRATION_SUFFIXES,
     missing_af: float = 1.0,
+    block_gzip: bool = False,
 ) -> DataFrame:
-    """VCF records with the allele fraction of the sample column."""
-    records = vcf_records(read_lines(spark, paths), min_columns, suffixes)
+    """VCF records with the allele fraction of the sample column.
+
+    With ``block_gzip`` the paths are ``.gz`` files or folders of them, and several tasks share a
+    large block-gzip file; without, a packed file is one task's.
+    """
+    lines = read_block_lines(spark, paths) if block_gzip else read_lines(spark, paths)
+    records = vcf_records(lines, min_columns, suffixes)
     return records.withColumn("af", allele_fraction(F.col("format"), F.col("sample"), missing_af))
 
 
