@@ -22,7 +22,7 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import groupby
+from itertools import groupby, islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -93,7 +93,7 @@ def _nodes(rebuild: Rebuild, shard: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(convs: list[tuple[int, list[Turn]]]) -> Iterator[pa.RecordBatch]:
             found = shard_nodes(convs)
-            while rows := [r for r, _ in zip(found, range(8192))]:
+            while rows := list(islice(found, 8192)):
                 longs = [[r[0][0] for r in rows], [r[0][1] for r in rows], [r[1][0] for r in rows], [r[1][1] for r in rows]]
                 longs += [[r[i] for r in rows] for i in range(2, 6)] + [[convs[0][0]] * len(rows)]
                 columns = [pa.array(c, pa.int64()) for c in longs] + [pa.array([r[6] or None for r in rows], pa.binary())]

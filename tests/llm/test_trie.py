@@ -82,6 +82,11 @@ def test_shards_of_two_conversations_and_long_shared_prefixes(spark):
     assert got(spark, rows, False, shard=2) == brute(rows, False)
 
 
+def test_a_shard_of_more_nodes_than_a_batch(spark):
+    rows = [(c, t, "user", f"{c} {t}" if t else "hello") for c in range(4000) for t in range(5)]
+    assert got(spark, rows, False) == brute(rows, False)
+
+
 def test_empty_table_and_turnless_conversations(spark):
     assert got(spark, [], True) == []
     rows = [(c, 0, "user", "only") for c in range(1, 30)]
