@@ -95,7 +95,7 @@ def stream_stage_errors(spark, sf):
 
 @query
 def stream_unmet_starts(spark, sf):
-    """Starts that no mark of their stage met within the limit of half an hour, by a join of the stream with itself."""
+    """Starts that no mark of their stage met within the limit of half an hour, by a state per stage and time range."""
     target = _folder(spark, "unmet")
     limit = (F.greatest(F.col("estimate_seconds") * 2, F.lit(1800.0)) * 1000).cast("long").alias("limit_ms")
     marks = _stage_events(spark, sf).select("stage", "type", "ts", F.col("event_id").alias("event_order"), limit)

@@ -11,11 +11,14 @@ delivered twice changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState
 
 from locusloom.operators.cohort import LOCUS
 from locusloom.operators.runlog import resolve_stage_state
@@ -182,25 +185,89 @@ def stage_table(status: DataFrame) -> DataFrame:
     return resolve_stage_state(flat, F.col("_estimate"), F.col("_message"))
 
 
+STARTS_PER_GROUP = 8
+_SEEN = "start_us binary, start_order binary, limit_ms binary, mark_us binary, mark_order binary"
+
+
 def overdue_starts(marks: DataFrame, longest: str, delay: str = "10 minutes") -> DataFrame:
-    """Stream of starts with no mark of their stage within their limit, by an outer join of the stream with itself.
+    """Stream of starts with no mark of their stage within their limit, by a state per stage and time range.
 
     ``marks (stage, type, ts, event_order, limit_ms)``; any later start, finish or error closes a
     start. A start is kept until the watermark, ``delay`` behind the latest mark, has passed
     ``longest``, the largest limit there is, after it; then it comes out if nothing met it. So
     alerts appear while the stream runs, and state is bounded by ``longest`` and ``delay``. Marks
     without stage or time, or later than ``delay``, are left out.
+
+    A group has the starts of ``STARTS_PER_GROUP`` times ``longest`` of one stage and the marks that may
+    meet them: those of its range and, as a second row, those up to ``longest`` after it. Only a start's
+    next mark is looked at, so the work grows with the marks, not with the pairs of marks near each other.
     """
+    spark = marks.sparkSession
+    reach = spark.range(1).select(F.unix_millis(F.timestamp_millis(F.lit(0)) + F.expr(f"interval {longest}"))).first()[0]
+    width = STARTS_PER_GROUP * reach * 1000
+    at = F.unix_micros("ts")
     timed = marks.where(F.col("type").isin(*MARKS) & F.col("ts").isNotNull() & F.col("stage").isNotNull()).withWatermark("ts", delay)
-    starts = timed.where("type = 'start'").select("stage", F.col("ts").alias("start_ts"), F.col("event_order").alias("start_order"), "limit_ms")
-    after = timed.select(F.col("stage").alias("mark_stage"), F.col("ts").alias("mark_ts"), F.col("event_order").alias("mark_order"))
-    met = F.expr(
-        f"stage = mark_stage and mark_ts >= start_ts and mark_ts <= start_ts + interval {longest}"
-        " and (mark_ts > start_ts or mark_order > start_order)"
-        " and unix_millis(mark_ts) <= unix_millis(start_ts) + limit_ms"
+    bins = F.array_distinct(F.array(F.floor((at - reach * 1000) / F.lit(width)), F.floor(at / F.lit(width))))
+    rows = timed.select(
+        "stage", "ts", at.alias("us"), (F.col("type") == "start").alias("starts"), F.col("event_order").cast("long").alias("event_order"),
+        F.col("limit_ms").cast("long").alias("limit_ms"), F.explode(bins).alias("bin"),
+    )
+    found = rows.groupBy("stage", "bin").applyInPandasWithState(
+        _unmet(reach, width), "stage string, start_us long, limit_ms long", _SEEN, "append", "EventTimeTimeout"
     )
-    alone = starts.join(after, met, "left_outer").where("mark_stage is null")
-    return alone.select(
-        "stage", "start_ts", (F.col("limit_ms") / 1000).alias("threshold_seconds"),
-        F.timestamp_millis(F.unix_millis("start_ts") + F.col("limit_ms")).alias("alert_ts"),
+    return found.select(
+        "stage", F.timestamp_micros("start_us").alias("start_ts"), (F.col("limit_ms") / 1000).alias("threshold_seconds"),
+        F.timestamp_millis(F.unix_millis(F.timestamp_micros("start_us")) + F.col("limit_ms")).alias("alert_ts"),
     )
+
+
+NO_LIMIT = np.iinfo(np.int64).min
+
+
+def _unmet(reach: int, width: int):
+    """Starts of a group that nothing met, once the watermark is ``reach`` milliseconds after them.
+
+    State: starts that no mark has met so far, and marks not yet behind the watermark, which starts still to come may meet.
+    """
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = [np.frombuffer(b, np.int64) for b in state.get] if state.exists else [np.empty(0, np.int64)] * 5
+        starts, seen = [held[:3]], [held[3:]]
+        for batch in batches:
+            us = batch["us"].to_numpy(np.int64)
+            order, known = batch["event_order"], batch["event_order"].notna().to_numpy()
+            number = order.fillna(0).to_numpy(np.int64)
+            # A mark of the same time meets a start by a larger number; without numbers neither meets the other.
+            seen.append([us, np.where(known, number, np.iinfo(np.int64).min)])
+            own = batch["starts"].to_numpy(bool) & (us // width == key[1])
+            limit = batch["limit_ms"].astype("Int64").fillna(NO_LIMIT).to_numpy(np.int64)
+            starts.append([us[own], np.where(known, number, np.iinfo(np.int64).max)[own], limit[own]])
+        at, number, limit = (np.concatenate(c) for c in zip(*starts))
+        mark, order = (np.concatenate(c) for c in zip(*seen))
+        sort = np.lexsort((order, mark))
+        mark, order = mark[sort], order[sort]
+        # How many marks are at or before each start, by time and number: marks go before starts of the same place.
+        both = np.lexsort((np.repeat([0, 1], [len(mark), len(at)]), np.concatenate([order, number]), np.concatenate([mark, at])))
+        upto = np.empty(len(both), np.int64)
+        upto[both] = np.cumsum(both < len(mark))
+        following = upto[len(mark) :]
+        after = np.append(mark, np.iinfo(np.int64).max)[following]
+        met = (limit != NO_LIMIT) & (following < len(mark)) & (after <= at + reach * 1000) & (after // 1000 <= at // 1000 + limit)
+        at, number, limit = at[~met], number[~met], limit[~met]
+        now = state.getCurrentWatermarkMs()
+        over = -(-at // 1000) + reach <= now
+        if over.any():
+            told = pd.Series(limit[over]).astype("Int64")
+            yield pd.DataFrame({"stage": key[0], "start_us": at[over], "limit_ms": told.mask(told == NO_LIMIT)})
+        at, number, limit = at[~over], number[~over], limit[~over]
+        ahead = mark > now * 1000
+        mark, order = mark[ahead], order[ahead]
+        if not len(at) and not len(mark):
+            if state.exists:
+                state.remove()
+            return
+        state.update(tuple(np.ascontiguousarray(c).tobytes() for c in (at, number, limit, mark, order)))
+        # Without starts the marks wait until they are behind the watermark.
+        state.setTimeoutTimestamp(max(1, now, -(-int(at.min()) // 1000) + reach - 1 if len(at) else int(mark.max()) // 1000 + 1))
+
+    return run

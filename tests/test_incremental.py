@@ -145,3 +145,25 @@ def test_unmet_starts_come_while_the_stream_runs(spark, tmp_path):
     got = arrive((9, "f", "start", 100, half), (10, "f", "finish", 100, half), (11, "g", "start", 100, half))
     assert got == [("a", minute(0), minute(30))]
     assert arrive((12, "x", "finish", 400, half)) == [("a", minute(0), minute(30)), ("g", minute(100), minute(130))]
+
+
+def test_unmet_starts_of_one_dense_stage(spark, tmp_path):
+    """A join of all starts with all marks of a stage would look at 200 million pairs here."""
+    import random
+    import time
+
+    from locusloom.streaming import runs
+
+    rng, half = random.Random(3), 30 * 60_000
+    rows = [("a", "start" if i % 2 else "error", rng.randrange(60_000) / 1000, i, half) for i in range(20_000)]
+    rows += [("a", "start", m, 30_000 + n, half) for n, m in enumerate((60.5, 95, 239.5, 269.6, 299, 420, 451))]
+    rows += [("a", "finish", 420, None, half), ("a", "start", 480, None, None), ("b", "finish", 700, 1, half)]
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "stage string, type string, ts timestamp, event_order long, limit_ms long"
+    land(spark.createDataFrame([(s, t, minute(m), i, n) for s, t, m, i, n in rows], schema), folder)
+    alerts = incremental.overdue_starts(spark.readStream.schema(schema).parquet(folder), "30 minutes")
+    began = time.monotonic()
+    runs.append_stream(alerts, out, out + "-cp")
+    assert time.monotonic() - began < 60
+    got = sorted((r["start_ts"], r["alert_ts"]) for r in spark.read.schema(alerts.schema).parquet(out).collect())
+    assert got == [(minute(m), None if m == 480 else minute(m + 30)) for m in (60.5, 95, 239.5, 299, 420, 480)]
