@@ -166,6 +166,16 @@ def natural_sort_key(name: Column) -> list[Column]:
     return [F.regexp_replace(name, r"\d+", ""), numbers, name]
 
 
+def natural_sort_text(name: Column) -> Column:
+    """One text per name that sorts bytewise as :func:`natural_sort_key`, which is far slower to compare.
+
+    Letters as hexadecimal digits, numbers padded to 38 digits; a blank, below all of these, ends either.
+    """
+    letters, numbers, _ = natural_sort_key(name)
+    padded = F.transform(numbers, lambda d: F.coalesce(F.lpad(d.cast("string"), 38, "0"), F.lit("!" * 38)))
+    return F.concat(F.hex(F.encode(letters, "UTF-8")), F.lit(" "), F.array_join(padded, ""), F.lit(" "), name)
+
+
 def file_kind(path: Column) -> Column:
     """Report class of a file by its suffix."""
     # Suffixes of the three report classes.

@@ -15,7 +15,7 @@ from locusloom.functions.text import (
     file_name,
     mean_sd_text,
     minutes_text,
-    natural_sort_key,
+    natural_sort_text,
     normalize_sample_id,
     signed_minutes_text,
     strict_variant_class,
@@ -297,7 +297,7 @@ def read_path(spark, sf):
 @query
 def natural_sort(spark, sf):
     names = view(spark, sf, "part").select(F.concat_ws("_", "p_name", F.col("p_partkey").cast("string")).alias("name"))
-    keyed = names.distinct().withColumn("_key", F.struct(*natural_sort_key(F.col("name"))))
+    keyed = cut_lineage(names.distinct().withColumn("_key", natural_sort_text(F.col("name"))))
     ranked = ordered_scan(keyed, [], "_key", {"_k": F.lit(1)})
     return ranked.select("name", (F.col("_k_before") + 1).cast("long").alias("position"))
 
