@@ -41,6 +41,7 @@ def burden_wide(long: DataFrame, annotated: DataFrame, samples: Sequence[str]) -
     The caller names the columns; a sample of the long table that has none stops the query
     with an error instead of vanishing.
     """
+    long = cut_lineage(long)  # read by the check and by the matrix
     named = F.col("sample_id").isin(list(samples))
     checks.require_empty(long.filter(~named).select("sample_id").distinct(), "samples without a matrix column")
     empty = annotated.select(*GENE).distinct().withColumn("sample_id", F.lit(None).cast("string"))

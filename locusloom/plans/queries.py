@@ -136,7 +136,7 @@ def gene_burden_long(spark, sf):
 
 @query
 def gene_burden_wide(spark, sf):
-    table = annotated(spark, sf)
+    table = cut_lineage(annotated(spark, sf))
     return burden.burden_wide(burden.burden_long(variants(spark, sf), table), table, SAMPLES)
 
 
