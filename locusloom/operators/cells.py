@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusloom.functions.text import barcode_core, fixed_text
+from locusloom.session import cut_lineage
 
 LOCUS = ["chrom", "pos", "ref", "alt"]
+TASKS = 2
 
 
 def cell_allele_counts(observed: DataFrame, sites: DataFrame) -> DataFrame:
@@ -15,10 +17,16 @@ def cell_allele_counts(observed: DataFrame, sites: DataFrame) -> DataFrame:
 
     Barcodes are reduced to their bare form. Bases are counted per cell and position before
     sites are attached, so deep positions reach the join as at most a handful of rows per cell.
+    Rows are dealt by cell and position before they are counted: few repeat within a task that
+    reads them, and such a task would hold a count for nearly every row of its part of the file.
+    The number of tasks is given, ``TASKS`` per shuffle partition: where Spark merges partitions by
+    their packed bytes, the counts that one task makes of them may be fifty times as large.
     """
-    bare = observed.withColumn("barcode", barcode_core(F.col("barcode")))
+    tasks = TASKS * int(observed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bare = observed.withColumn("barcode", barcode_core(F.col("barcode"))).repartition(tasks, "sample_id", "barcode", "chrom", "pos")
     counted = bare.groupBy("sample_id", "barcode", "chrom", "pos", "base").agg(F.count(F.lit(1)).alias("_n"))
-    placed = counted.join(sites.select(*LOCUS).distinct(), ["chrom", "pos"])
+    known = sites.select(*LOCUS).distinct().repartition(tasks, "chrom", "pos")
+    placed = counted.repartition(tasks, "chrom", "pos").join(known, ["chrom", "pos"])
     base = F.col("base")
     return placed.groupBy("sample_id", "barcode", *LOCUS).agg(
         F.coalesce(F.sum(F.when(base == F.col("alt"), F.col("_n"))), F.lit(0)).alias("ad"),
@@ -44,10 +52,12 @@ def cluster_allele_sums(cells: DataFrame, clusters: DataFrame, min_alt: int = 3)
     """Σ AD and Σ DP per variant and cluster with VAF; unmapped cells are dropped.
 
     Both sides carry bare barcodes, as ``cell_allele_counts``, ``matrix_cells`` and
-    ``cluster_lookup`` make them.
+    ``cluster_lookup`` make them. The clusters are written once, so that the join is planned from
+    their size: while they can be broadcast, the counts, far more, stay where they are.
     """
+    known = cut_lineage(clusters.select("sample_id", "barcode", "cluster"))
     sums = (
-        cells.join(clusters.select("sample_id", "barcode", "cluster"), ["sample_id", "barcode"])
+        cells.join(known, ["sample_id", "barcode"])
         .groupBy("sample_id", *LOCUS, "cluster")
         .agg(F.sum("ad").alias("alt_sum"), F.sum("dp").alias("depth_sum"))
     )

@@ -83,12 +83,17 @@ def long_burden(spark, sf):
     return burden.burden_long(variants(spark, sf), annotated(spark, sf))
 
 
+def sites(spark, sf, calls):
+    """Distinct sites; calls are dealt by locus first, as few of them repeat within a task that reads them."""
+    return view(spark, sf, "fx_sites", {"fx_variants": calls.repartition("chrom", "pos", "ref", "alt")})
+
+
 def lookup(spark, sf):
     return cells.cluster_lookup(view(spark, sf, "fx_cluster_map"))
 
 
 def cell_counts(spark, sf):
-    return cells.cell_allele_counts(view(spark, sf, "fx_observed"), view(spark, sf, "fx_sites"))
+    return cells.cell_allele_counts(view(spark, sf, "fx_observed"), sites(spark, sf, variants(spark, sf)))
 
 
 def cluster_sums(spark, sf):
@@ -330,7 +335,7 @@ def cluster_metrics(spark, sf):
 def matrix_cluster_sums(spark, sf):
     """Counts as sparse matrices: positions from value lists, then back through the index joins."""
     given = {"fx_variants": cut_lineage(variants(spark, sf))}
-    given |= {name: cut_lineage(view(spark, sf, name, given)) for name in ("fx_cells", "fx_sites")}
+    given |= {"fx_cells": cut_lineage(view(spark, sf, "fx_cells", given)), "fx_sites": cut_lineage(sites(spark, sf, given["fx_variants"]))}
     counts = cut_lineage(cells.cell_allele_counts(view(spark, sf, "fx_observed", given), given["fx_sites"]))
     loci = given["fx_sites"].withColumn("_key", F.concat_ws(":", "chrom", "pos", "ref", "alt"))
     listed = cut_lineage(ordered_scan(loci, [], "_key", {"_k": F.lit(1)}).withColumn("idx", F.col("_k_before") + 1))
@@ -399,7 +404,7 @@ def integrated(spark, sf):
     given["fx_cells"] = cut_lineage(view(spark, sf, "fx_cells", given))
     loci = cohort.cohort_loci(calls, order="rec_order")
     long = burden.burden_long(calls, intervals.annotate_variants(loci, genes(spark, sf), BIN))
-    counts = cells.cell_allele_counts(view(spark, sf, "fx_observed", given), view(spark, sf, "fx_sites", given))
+    counts = cells.cell_allele_counts(view(spark, sf, "fx_observed", given), sites(spark, sf, calls))
     sums = cells.cluster_allele_sums(counts, cells.cluster_lookup(view(spark, sf, "fx_cluster_map", given)))
     samples = view(spark, sf, "fx_samples")
     detected = given["fx_cells"].select(
