@@ -333,11 +333,12 @@ oracle("cell_map_file", ("fx_variants", "fx_cells", "fx_all_clusters", "fx_clust
 
 
 def _cluster_rows(spark, sf):
-    rows = cluster_sums(spark, sf).select("sample_id", "chrom", "pos", "ref", "alt", "cluster", "alt_sum", "depth_sum", F.round("vaf", 6).alias("vaf"))
+    sums = cut_lineage(cluster_sums(spark, sf))  # read by the lines and by their head lines
+    rows = sums.select("sample_id", "chrom", "pos", "ref", "alt", "cluster", "alt_sum", "depth_sum", F.round("vaf", 6).alias("vaf"))
     fields = ["chrom", "pos", "ref", "alt", "cluster", "alt_sum", "depth_sum", "vaf"]
     name = F.concat("sample_id", F.lit(".cellsnp.cluster_counts.tsv"))
     body = _named(rows, name, F.lit(1), _tabbed(*fields))
-    heads = rows.select(name.alias("name"), F.lit(0).cast("long").alias("line_order"), F.lit("\t".join(fields)).alias("value")).distinct()
+    heads = rows.select(name.alias("name")).distinct().select("name", F.lit(0).cast("long").alias("line_order"), F.lit("\t".join(fields)).alias("value"))
     return body.unionByName(heads)
 
 
