@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,24 +18,61 @@ from locusloom.session import cut_lineage
 
 LOCUS = ["chrom", "pos", "ref", "alt"]
 GENE = ["gene_id", "gene_name"]
+STRETCH = 4096
+MEETINGS = 1 << 20
 
 
-def variant_gene_pairs(annotated: DataFrame) -> DataFrame:
-    return annotated.select(*LOCUS, *GENE).distinct()
+def _codes(column: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
+    """A number for each value, null among them, and the values."""
+    coded = pc.dictionary_encode(pa.concat_arrays(column.chunks), null_encoding="encode")
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
+def _meet(rows: pa.Table) -> pa.Table:
+    """Loci per gene and sample of one stretch, from its calls and its (locus, gene) rows."""
+    (ref, refs), (alt, alts), (gene, genes), (name, names), (sample, samples) = (
+        _codes(rows.column(c)) for c in ("ref", "alt", *GENE, "sample_id")
+    )
+    pos = rows.column("pos").to_numpy().astype(np.int64)
+    locus = ((pos - pos.min()) * len(refs) + ref) * len(alts) + alt
+    is_call = rows.column("_call").to_numpy()
+    order = np.flatnonzero(is_call)[np.argsort(locus[is_call], kind="stable")]
+    called, by = locus[order], sample[order]
+    kinds, kind = np.unique(gene[~is_call] * len(names) + name[~is_call], return_inverse=True)
+    pairs = np.unique(locus[~is_call] * max(1, len(kinds)) + kind)
+    at, kind = np.divmod(pairs, max(1, len(kinds)))
+    first, last = np.searchsorted(called, at), np.searchsorted(called, at, side="right")
+    met = np.cumsum(last - first)
+    n = np.zeros(len(kinds) * len(samples), np.int64)
+    begin = 0
+    while begin < len(at):  # some pairs at a time, so that what they meet stays small
+        end = max(begin + 1, int(np.searchsorted(met, (met[begin - 1] if begin else 0) + MEETINGS, side="right")))
+        size = (last - first)[begin:end]
+        call = np.arange(size.sum()) + np.repeat(first[begin:end] - np.cumsum(size) + size, size)
+        n += np.bincount(np.repeat(kind[begin:end], size) * len(samples) + by[call], minlength=len(n))
+        begin = end
+    found = np.flatnonzero(n)
+    which, who = np.divmod(found, max(1, len(samples)))
+    columns = [genes.take(pa.array(kinds[which] // len(names))), names.take(pa.array(kinds[which] % len(names))), samples.take(pa.array(who)), pa.array(n[found])]
+    return pa.Table.from_arrays(columns, [*GENE, "sample_id", "n"])
 
 
 def burden_long(variants: DataFrame, annotated: DataFrame, sample: str = "sample_id") -> DataFrame:
     """Distinct annotated variants per gene and sample: ``(gene_id, gene_name, sample_id, n)``.
 
-    Sample calls are reduced to distinct (locus, sample) rows before the join, so a
-    locus called over and over brings one row per sample to it.
+    Sample calls are reduced to distinct (locus, sample) rows first, so a locus called over
+    and over brings one row per sample. Calls and genes meet by locus in stretches of
+    ``STRETCH`` positions, whose rows the distinct loci bound; the loci of a gene are in few
+    stretches, and each adds up its counts before these are shuffled.
     """
-    calls = variants.select("chrom", "pos", "ref", first_alt(F.col("alt")).alias("alt"), sample).distinct()
-    return (
-        calls.join(variant_gene_pairs(annotated), LOCUS)
-        .groupBy(*GENE, F.col(sample).alias("sample_id"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    calls = variants.select("chrom", "pos", "ref", first_alt(F.col("alt")).alias("alt"), F.col(sample).alias("sample_id")).distinct()
+    called = calls.select(*LOCUS, "sample_id", F.lit(True).alias("_call"))
+    genes = annotated.select(*LOCUS, *GENE, F.lit(False).alias("_call"))
+    rows = called.unionByName(genes, allowMissingColumns=True).dropna(subset=LOCUS)
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = ", ".join(f"{c} {types[c]}" for c in (*GENE, "sample_id")) + ", n long"
+    met = rows.withColumn("_stretch", F.floor(F.col("pos") / STRETCH)).groupBy("chrom", "_stretch").applyInArrow(_meet, schema)
+    return met.groupBy(*GENE, "sample_id").agg(F.sum("n").alias("n"))
 
 
 def burden_wide(long: DataFrame, annotated: DataFrame, samples: Sequence[str]) -> DataFrame:

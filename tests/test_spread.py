@@ -1,7 +1,9 @@
+import collections
 """Steps whose share in one task must not grow with the table, and tables that are made once."""
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +73,30 @@ def test_tables_that_are_read_twice_are_made_once(spark, monkeypatch):
     frame, made = counted(spark, spark.createDataFrame(sums, fields))
     monkeypatch.setattr(file_queries, "cluster_sums", lambda spark, sf: frame)
     assert file_queries._cluster_rows(spark, "").count() == 4 and made.value == 3
+
+
+def _burden_rows(spark):
+    calls = [("c", p, "A", "G" if p % 2 else "T,C", s) for p in range(4000, 4300) for s in ("S0", "S1", None) if (p + len(s or "")) % 3]
+    calls += [("c", None, "A", "G", "S0"), (None, 4000, "A", "G", "S0")]
+    variants = spark.createDataFrame(calls + calls[:50], "chrom string, pos long, ref string, alt string, sample_id string")
+    loci = [("c", p, "A", "G" if p % 2 else "T", g, n) for p in range(4050, 4250) for g, n in (("g1", "a"), ("g1", None), (None, "b")) if p % 5]
+    annotated = spark.createDataFrame(loci + loci[:30], "chrom string, pos long, ref string, alt string, gene_id string, gene_name string")
+    called = {(c, p, r, a.split(",")[0], s) for c, p, r, a, s in calls if c and p}
+    want = collections.Counter((g, n, s) for c, p, r, a, g, n in set(loci) for s in ("S0", "S1", None) if (c, p, r, a, s) in called)
+    return variants, annotated, want
+
+
+def test_burden_counts_nulls_and_copies_over_stretches(spark):
+    variants, annotated, want = _burden_rows(spark)
+    found = burden.burden_long(variants, annotated).collect()
+    assert {(r["gene_id"], r["gene_name"], r["sample_id"]): r["n"] for r in found} == want and len(found) == len(want)
+
+
+@pytest.mark.parametrize("meetings", [1, burden.MEETINGS])
+def test_a_stretch_adds_up_its_burden(monkeypatch, meetings):
+    """What leaves a stretch is a row per gene and sample, however many loci meet there."""
+    monkeypatch.setattr(burden, "MEETINGS", meetings)
+    rows = [("A", "G", p, "S%d" % (p % 2), None, None, True) for p in range(300)] + [("A", "G", p, None, "g", "n", False) for p in range(300)]
+    names = ["ref", "alt", "pos", "sample_id", "gene_id", "gene_name", "_call"]
+    table = pa.table({c: pa.chunked_array([list(v)]) for c, v in zip(names, zip(*rows))})
+    assert burden._meet(table).to_pylist() == [{"gene_id": "g", "gene_name": "n", "sample_id": s, "n": 150} for s in ("S0", "S1")]
