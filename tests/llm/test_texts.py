@@ -250,3 +250,17 @@ def test_contained_items_equal_brute_force(documents, spark, monkeypatch):
         assert left == {d for d, _ in docs} - {w[0] for w in want} | {None}
     assert decontaminate.contained_items(documents([]), frame).count() == 0
     assert decontaminate.contained_items(documents(docs), frame.limit(0)).count() == 0
+
+
+def test_trigrams_of_a_bucket_share_a_row_and_hot_words_are_spread():
+    rng = np.random.default_rng(3)
+    text = " ".join(f"w{n}" for n in rng.integers(0, 400, 9000)) + " hot" + "".join(f" a{n} hot" for n in range(900))
+    batch = pa.record_batch({"text": [text], "toxic": pa.array([1], pa.int32())})
+    hot = toxicity.word_hashes(pa.array(["hot"]))[0]
+    rows = [r for b in toxicity._grams(hot, 0)([batch]) for r in b.to_pylist()]
+    assert len(rows) == len({r["bucket"] for r in rows}) <= toxicity.BUCKETS
+    found = [(r["bucket"], *t) for r in rows for t in zip(r["v"], r["w"], r["u"], r["tag"], strict=True)]
+    words = toxicity.word_hashes(pa.array([text]))[0].view(np.int64).tolist()
+    assert len(found) == len({t[1:4] for t in found}) and {t[1:4] for t in found} == set(zip(words[:-1], words[1:], [0, *words]))
+    after = {v: {t[0] for t in found if t[1] == v} for v in {t[1] for t in found}}
+    assert len(after.pop(int(hot.view(np.int64)[0]))) > 500 and all(len(b) == 1 for b in after.values())
