@@ -1,8 +1,9 @@
 """Phrase collocations by the stripes pattern.
 
 A *stripe* is a prefix of words with an associative counter of the words that follow it. Tasks
-count the stripes of a piece of text and emit one row per prefix, words and counts side by side;
-Spark merges the stripes of a prefix elementwise. The counter has an end entry for occurrences of
+count the stripes of a piece of text and emit a row per segment, prefixes, words and counts side by
+side, where a segment is one of ``STRIPES`` by the prefix's hash: a piece has that many rows a
+language at most, however many of its prefixes the corpus makes frequent. Spark merges the stripes of a prefix elementwise. The counter has an end entry for occurrences of
 the prefix that nothing countable follows, so one merged stripe gives the extensions of a prefix,
 in its sum the prefix's own frequency, and in its largest entry what subsumes the prefix.
 
@@ -14,7 +15,7 @@ and the broadcast doesn't grow; only the share that passes in vain does.
 
 Hot prefixes: the vocabulary's stripe is cut into ``PARTS`` by the word's hash. A prefix of words
 that each make up ``1 / HOT`` of all words or more (there are at most ``HOT`` such words, which
-are broadcast) is cut into ``SEGMENTS`` by the next word's hash. Others are rarer than that.
+are broadcast) is dealt to ``SEGMENTS`` segments by the next word's hash. Others are rarer than that.
 
 Words are 64-bit hashes while they are counted. Two words of one language with one hash would
 share a vocabulary entry, which is noticed there, and all is counted anew under another seed.
@@ -38,6 +39,7 @@ LONGEST = 4
 PARTS = 1024
 HOT = 4096
 SEGMENTS = 64
+STRIPES = 4096
 BITS = 1 << 28
 PIECE = 8 << 20
 END = np.uint64(0)
@@ -132,7 +134,8 @@ def _vocabulary(seed: int):
 
 
 def _stripes(seed: int, size: int, marks: Broadcast, hot: np.ndarray):
-    """Stripes of prefixes of ``size`` words: ``(lang, p1..., segment, nexts, counts)``; ``hot`` are sorted phrase hashes of words."""
+    """Stripes of prefixes of ``size`` words, those of a segment in one row: ``(lang, segment, w1..., nexts, counts)``; ``hot`` are sorted phrase
+    hashes of words."""
 
     def count(text: Text) -> Iterator[pa.RecordBatch]:
         bits, n = marks.value, len(text.words) - size + 1
@@ -153,15 +156,16 @@ def _stripes(seed: int, size: int, marks: Broadcast, hot: np.ndarray):
             often = np.ones(len(at), bool)
             for p in prefix:
                 often &= np.isin(phrase_hashes(seeds[at], [p[at]]), hot)
-            segment = np.where(often, after % np.uint64(SEGMENTS), np.uint64(0)).astype(np.int32)
-            order = np.lexsort((segment, whole[at]))
+            part = np.where(often, bytesops.mix(whole[at] ^ (after % np.uint64(SEGMENTS) + STEP)), whole[at])
+            segment = (part % np.uint64(STRIPES)).astype(np.int32)
+            order = np.lexsort((whole[at], segment, text.lang[at]))
             counts, at, after, segment = counts[order], at[order], after[order], segment[order]
-            cut = _heads(text.lang[at], *(p[at] for p in prefix), segment)
+            cut = _heads(segment, text.lang[at])
             columns = [
-                text.names.take(pa.array(text.lang[at[cut]])), *(pa.array(p[at[cut]].view(np.int64)) for p in prefix), pa.array(segment[cut]),
+                text.names.take(pa.array(text.lang[at[cut]])), pa.array(segment[cut]), *(_lists(pa.array(p[at].view(np.int64)), cut) for p in prefix),
                 _lists(pa.array(after.view(np.int64)), cut), _lists(pa.array(counts), cut),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", *(f"w{j + 1}" for j in range(size)), "segment", "nexts", "counts"])
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "segment", *(f"w{j + 1}" for j in range(size)), "nexts", "counts"])
 
     return lambda batches: _stripes_of(batches, seed, count)
 
@@ -181,12 +185,11 @@ def _keys(width: int):
 
 def _merged(stripes: DataFrame, keys: list[str], least: int) -> DataFrame:
     """Stripes of a prefix and segment as one: its ``total`` and, as ``entries``, the extensions of at least ``least``."""
-    keys, end = [*keys, "segment"], F.lit(int(END))
-    fields = [c for c in stripes.columns if c not in keys and c != "counts"]
-    flat = stripes.repartition(*keys).select(*keys, F.inline(F.arrays_zip(*fields, "counts")))
-    names = {"nexts": "next", "words": "word", "counts": "a"}
-    flat = flat.withColumnsRenamed(names)
-    columns = [names[f] for f in fields]
+    dealt, keys, end = ["lang", "segment"], [*keys, "segment"], F.lit(int(END))
+    lists = [c for c in stripes.columns if c not in dealt]
+    flat = stripes.repartition(*dealt).select(*dealt, F.inline(F.arrays_zip(*lists)))
+    flat = flat.withColumnsRenamed({"nexts": "next", "words": "word", "counts": "a"})
+    columns = [c for c in flat.columns if c not in keys and c != "a"]
     summed = flat.groupBy(*keys, *columns).agg(F.sum("a").alias("a"))
     kept = F.when((F.col("next") != end) & (F.col("a") >= least), F.struct(*columns, "a"))
     if "word" in columns:  # one hash, two words
@@ -231,7 +234,7 @@ class _Counter:
         """Frequent phrases of ``size + 1`` words from those of ``size``, of the same columns and one word more."""
         prefix = [f"w{j + 1}" for j in range(size)]
         marks = self.spark.sparkContext.broadcast(presence_bits(phrases.mapInArrow(_keys(size), "key long"), BITS))
-        schema = f"lang string, {', '.join(f'{p} long' for p in prefix)}, segment int, nexts array<long>, counts array<long>"
+        schema = f"lang string, segment int, {', '.join(f'{p} array<long>' for p in prefix)}, nexts array<long>, counts array<long>"
         merged = self.scratch.keep(_merged(self.rows.mapInArrow(_stripes(self.seed, size, marks, hot), schema), ["lang", *prefix], self.least))
         entries = merged.select("lang", *prefix, F.inline("entries")).withColumnRenamed("next", f"w{size + 1}")
         totals = merged.groupBy("lang", *prefix).agg(F.sum("total").alias("total"))

@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,3 +78,18 @@ def test_words_of_one_hash_are_noticed(spark):
     stripes = spark.createDataFrame([("en", 0, [5, 6], [1, 2], ["ab", "x"]), ("en", 0, [5], [1], ["cd"]), ("fr", 0, [5], [4], ["cd"])], schema)
     merged = {r["lang"]: r for r in collocations._merged(stripes, ["lang"], 1).collect()}
     assert (merged["en"]["spellings"], merged["en"]["total"]) == (2, 4) and merged["fr"]["spellings"] == 1
+
+
+def test_rows_of_stripes_do_not_grow_with_the_frequent_phrases():
+    """A piece has a row per language and segment, though thousands of its prefixes are frequent."""
+    words = np.random.default_rng(1).integers(0, 3000, 60000)
+    batch = pa.record_batch({"lang": ["en"], "text": [" ".join(f"w{n}" for n in words)]})
+
+    class All:
+        value = np.full(collocations.BITS >> 16, 255, np.uint8)
+
+    schema = "lang string, segment int, w1 array<long>, w2 array<long>, nexts array<long>, counts array<long>"
+    rows = [r for b in collocations._stripes(0, 2, All, np.zeros(0, np.uint64))([batch]) for r in b.to_pylist()]
+    assert list(rows[0]) == [c.split()[0] for c in schema.split(", ")]
+    assert len(rows) == len({r["segment"] for r in rows}) <= collocations.STRIPES < 59000
+    assert sum(sum(r["counts"]) for r in rows) == len(words) - 1
