@@ -3,7 +3,9 @@
 A *stripe* is a prefix of words with an associative counter of the words that follow it. Tasks
 count the stripes of a piece of text and emit a row per segment, prefixes, words and counts side by
 side, where a segment is one of ``STRIPES`` by the prefix's hash: a piece has that many rows a
-language at most, however many of its prefixes the corpus makes frequent. Spark merges the stripes of a prefix elementwise. The counter has an end entry for occurrences of
+language at most, however many of its prefixes the corpus makes frequent. Spark brings the rows of a segment
+together, and tasks merge the stripes in them elementwise without making a row of each entry: what leaves the merge are
+frequent extensions and a total per prefix. The counter has an end entry for occurrences of
 the prefix that nothing countable follows, so one merged stripe gives the extensions of a prefix,
 in its sum the prefix's own frequency, and in its largest entry what subsumes the prefix.
 
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusloom.llm import bytesops
-from locusloom.llm.tables import Scratch, presence_bits, read_bits
+from locusloom.llm.tables import Scratch, presence_bits, read_bits, whole_groups
 
 LONGEST = 4
 PARTS = 1024
@@ -42,6 +44,7 @@ SEGMENTS = 64
 STRIPES = 4096
 BITS = 1 << 28
 PIECE = 8 << 20
+ROWS = 512
 END = np.uint64(0)
 STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 SEPARATORS = [*b".,;:!?", *range(0x0A, 0x0E)]  # fixed values of the contract
@@ -93,10 +96,11 @@ def phrase_hashes(seeds: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
 
 
 def _stripes_of(batches: Iterator[pa.RecordBatch], seed: int, count) -> Iterator[pa.RecordBatch]:
-    """``count`` of every piece's text. Nothing here keeps a piece, so that a worker holds one of them at a time."""
+    """``count`` of every piece's text, ``ROWS`` at a time. Nothing here keeps a piece, so that a worker holds one of them at a time."""
     for whole in batches:
         for batch in bytesops.pieces(whole, "text", PIECE):
-            yield from count(Text(batch, seed))
+            for out in count(Text(batch, seed)):
+                yield from (out.slice(at, ROWS) for at in range(0, len(out), ROWS))
 
 
 def _heads(*columns: np.ndarray) -> np.ndarray:
@@ -170,6 +174,42 @@ def _stripes(seed: int, size: int, marks: Broadcast, hot: np.ndarray):
     return lambda batches: _stripes_of(batches, seed, count)
 
 
+def _sums(size: int, least: int):
+    """Stripes of ``size`` words merged, from rows sorted by language and segment: ``(lang, w1..., next, a)``, extensions
+    of at least ``least`` and, as the end entry, the total of every prefix in a segment."""
+    prefix = [f"w{j + 1}" for j in range(size)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["lang", "segment"]):
+            table = table.combine_chunks()
+            langs, segments = table.column("lang"), table.column("segment").to_numpy()
+            group = np.zeros(len(table), np.int64)
+            group[_heads(langs.to_numpy(), segments)[1:]] = 1
+            rows = np.repeat(np.arange(len(table)), table.column("nexts").combine_chunks().value_lengths().to_numpy())
+            group = np.cumsum(group)[rows]
+            flat = lambda c: table.column(c).combine_chunks().flatten().to_numpy()
+            words, nexts, counts = [flat(p).view(np.uint64) for p in prefix], flat("nexts").view(np.uint64), flat("counts")
+            whole = phrase_hashes(bytesops.mix(group.view(np.uint64) + STEP), words)
+            order = np.lexsort((nexts, whole))
+            if len(_heads(whole[order])) != len(_heads(group[order], *(w[order] for w in words))):  # one hash, two prefixes
+                order = np.lexsort((nexts, *words, group))
+            words, nexts, counts, group, rows = [w[order] for w in words], nexts[order], counts[order], group[order], rows[order]
+            stripes, entries = _heads(group, *words), _heads(group, *words, nexts)
+            a = np.add.reduceat(counts, entries)
+            often = (a >= least) & (nexts[entries] != END)
+            at = np.append(entries[often], stripes)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    langs.take(pa.array(rows[at])).combine_chunks(), *(pa.array(w[at].view(np.int64)) for w in words),
+                    pa.array(np.append(nexts[entries[often]], np.full(len(stripes), END)).view(np.int64)),
+                    pa.array(np.append(a[often], np.add.reduceat(counts, stripes))),
+                ],
+                ["lang", *prefix, "next", "a"],
+            )
+
+    return run
+
+
 def _keys(width: int):
     """Phrase hashes of frequent phrases ``(lang, w1...)``."""
 
@@ -184,20 +224,23 @@ def _keys(width: int):
 
 
 def _merged(stripes: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Stripes of a prefix and segment as one: its ``total`` and, as ``entries``, the extensions of at least ``least``."""
+    """Stripes of the empty prefix by segment as one: ``total`` and, as ``entries``, the words of at least ``least``."""
     dealt, keys, end = ["lang", "segment"], [*keys, "segment"], F.lit(int(END))
     lists = [c for c in stripes.columns if c not in dealt]
     flat = stripes.repartition(*dealt).select(*dealt, F.inline(F.arrays_zip(*lists)))
     flat = flat.withColumnsRenamed({"nexts": "next", "words": "word", "counts": "a"})
-    columns = [c for c in flat.columns if c not in keys and c != "a"]
-    summed = flat.groupBy(*keys, *columns).agg(F.sum("a").alias("a"))
-    kept = F.when((F.col("next") != end) & (F.col("a") >= least), F.struct(*columns, "a"))
-    if "word" in columns:  # one hash, two words
-        per_hash = summed.groupBy(*keys, "next").agg(
-            F.count(F.lit(1)).alias("spellings"), F.max("word").alias("word"), F.sum("a").alias("a")
-        )
-        return per_hash.groupBy(*keys).agg(F.sum("a").alias("total"), F.max("spellings").alias("spellings"), F.collect_list(kept).alias("entries"))
-    return summed.groupBy(*keys).agg(F.sum("a").alias("total"), F.collect_list(kept).alias("entries"))
+    summed = flat.groupBy(*keys, "next", "word").agg(F.sum("a").alias("a"))
+    kept = F.when((F.col("next") != end) & (F.col("a") >= least), F.struct("next", "word", "a"))
+    per_hash = summed.groupBy(*keys, "next").agg(  # one hash, two words
+        F.count(F.lit(1)).alias("spellings"), F.max("word").alias("word"), F.sum("a").alias("a")
+    )
+    return per_hash.groupBy(*keys).agg(F.sum("a").alias("total"), F.max("spellings").alias("spellings"), F.collect_list(kept).alias("entries"))
+
+
+def _extensions(stripes: DataFrame, size: int, least: int) -> DataFrame:
+    """``(lang, w1..., next, a)`` of :func:`_sums` from stripes of ``size`` words."""
+    schema = f"lang string, {', '.join(f'w{j + 1} long' for j in range(size))}, next long, a long"
+    return stripes.repartition("lang", "segment").sortWithinPartitions("lang", "segment").mapInArrow(_sums(size, least), schema)
 
 
 class _Counter:
@@ -235,9 +278,9 @@ class _Counter:
         prefix = [f"w{j + 1}" for j in range(size)]
         marks = self.spark.sparkContext.broadcast(presence_bits(phrases.mapInArrow(_keys(size), "key long"), BITS))
         schema = f"lang string, segment int, {', '.join(f'{p} array<long>' for p in prefix)}, nexts array<long>, counts array<long>"
-        merged = self.scratch.keep(_merged(self.rows.mapInArrow(_stripes(self.seed, size, marks, hot), schema), ["lang", *prefix], self.least))
-        entries = merged.select("lang", *prefix, F.inline("entries")).withColumnRenamed("next", f"w{size + 1}")
-        totals = merged.groupBy("lang", *prefix).agg(F.sum("total").alias("total"))
+        merged = self.scratch.keep(_extensions(self.rows.mapInArrow(_stripes(self.seed, size, marks, hot), schema), size, self.least))
+        entries = merged.where(F.col("next") != int(END)).withColumnRenamed("next", f"w{size + 1}")
+        totals = merged.where(F.col("next") == int(END)).groupBy("lang", *prefix).agg(F.sum("a").alias("total"))
         first = phrases.select("lang", *prefix, F.col("phrase").alias("first"), F.col("ls").alias("first_ls"))
         rest = phrases.select(
             "lang", *(F.col(f"w{j + 1}").alias(f"w{j + 2}") for j in range(size)),

@@ -93,3 +93,28 @@ def test_rows_of_stripes_do_not_grow_with_the_frequent_phrases():
     assert list(rows[0]) == [c.split()[0] for c in schema.split(", ")]
     assert len(rows) == len({r["segment"] for r in rows}) <= collocations.STRIPES < 59000
     assert sum(sum(r["counts"]) for r in rows) == len(words) - 1
+
+
+@pytest.mark.parametrize("one_hash", [False, True])
+def test_stripes_are_merged_without_a_row_per_entry(spark, monkeypatch, one_hash):
+    """What leaves the merge are a total per prefix and frequent extensions, also if prefixes share a hash."""
+    if one_hash:
+        monkeypatch.setattr(collocations, "phrase_hashes", lambda seeds, words: np.zeros(len(words[0]), np.uint64))
+    rng = random.Random(2)
+    rows, want, total = [], Counter(), Counter()
+    for segment, lang in [(0, "en"), (0, "fr"), (1, "en")]:
+        for _ in range(4):
+            entries = [(rng.choice([7, -8]), rng.choice([segment, -9]), rng.choice([0, -3, -3, -3, 5, 5, 5, *range(100, 160)]), rng.randint(1, 3)) for _ in range(150)]
+            rows.append((lang, segment, *(list(c) for c in zip(*entries))))
+            for w1, w2, after, n in entries:
+                total[lang, segment, w1, w2] += n
+                want[lang, segment, w1, w2, after] += n
+    batch = pa.RecordBatch.from_pylist([dict(zip(["lang", "segment", "w1", "w2", "nexts", "counts"], r)) for r in sorted(rows, key=lambda r: r[:2])])
+    left = [k[:1] + k[2:] + (n,) for k, n in want.items() if n >= 12 and k[-1]] + [k[:1] + k[2:] + (0, n) for k, n in total.items()]
+    out = [r for b in collocations._sums(2, 12)(batch.slice(i, 5) for i in (0, 5, 10)) for r in b.to_pylist()]
+    assert sorted(tuple(r.values()) for r in out) == sorted(left) and 12 < len(left) < len(want) / 10
+    if not one_hash:
+        schema = "lang string, segment int, w1 array<long>, w2 array<long>, nexts array<long>, counts array<long>"
+        merged = collocations._extensions(spark.createDataFrame(rows, schema).repartition(3), 2, 12)
+        assert sorted(map(tuple, merged.collect())) == sorted(left)
+        assert "Generate" not in merged._jdf.queryExecution().toString()
