@@ -113,7 +113,7 @@ def group_predictions(
 def group_run_lists(df: DataFrame, keys: Sequence[str], run: str, condition: str, prob: str) -> DataFrame:
     """``;``-joined run ids, predicted conditions and probabilities per group, in run order.
 
-    For report tables of held-out groups, whose size the sample limit of the fit bounds.
+    For report tables of held-out groups; a list is as long as its group.
     """
     runs = F.array_sort(F.collect_list(F.struct(run, condition, prob)))
 

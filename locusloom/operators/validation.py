@@ -41,7 +41,7 @@ PERMUTATION_METRICS = ["group_balanced_accuracy", "group_roc_auc", "run_balanced
 def cv_fold_metrics(predictions: DataFrame, n_samples: int) -> DataFrame:
     """Sizes, overlap and classification metrics per fold of run-level CV.
 
-    ``n_samples`` is bounded by the cohort check, so the listed ids of a fold are too.
+    The listed ids of a fold grow with the cohort, whose ids the driver holds as well.
     """
     listed = predictions.groupBy("fold").agg(
         F.count(F.lit(1)).alias("n_test"),
@@ -173,9 +173,9 @@ def grouped_permutation(
     max_exact: int = 10_000,
     n_random: int = 1_000,
     seed: int = 42,
-    max_fit_samples: int = rs.MAX_FIT_SAMPLES,
+    max_fit_samples: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Scores of all labelings and the p-value table; at most ``max_fit_samples`` samples are fitted on, all are predicted."""
+    """Scores of all labelings and the p-value table. All samples are fitted on, or at most ``max_fit_samples``; all are predicted."""
     table, exact = fold_tables.group_labelings(samples, group, y, max_exact, n_random, seed)
     # Bounded: at most max_exact or n_random labelings of the groups.
     sets = [r[0] for r in table.orderBy("permutation_id").select("positive_groups").collect()]

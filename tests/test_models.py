@@ -265,3 +265,38 @@ def test_undefined_metric_never_reaches_the_observed_one(spark):
     scores = spark.createDataFrame([(0.5,), (None,), (0.7,)], "m double")
     row = scoring.permutation_pvalues(scores, [("m", F.lit(0.6))], ["m"], exact=True).first()
     assert (row["n_labelings_ge_observed"], row["p_value"]) == (1, pytest.approx(1 / 3))
+
+
+@pytest.fixture(scope="module")
+def large(spark):
+    """More samples than fits on matrices of samples take, few genes."""
+    rng = np.random.default_rng(9)
+    n = resampling.DIRECT_SAMPLES + 48
+    ids, groups = [f"S{i:04d}" for i in range(n)], [f"g{i % 10}" for i in range(n)]
+    y = np.array([i % 10 % 2 for i in range(n)])
+    x = rng.poisson(0.9, size=(n, 8)).astype(float)
+    x[:, :2] += rng.poisson(0.4, size=(n, 2)) * y[:, None]
+    x[:, 3] = 2.0  # constant gene
+    x[:, 4] = np.array(groups) == "g3"  # constant where g3 is held out
+    samples = spark.createDataFrame(list(zip(ids, y.tolist(), groups)), "sample_id string, y int, gsm string")
+    cells = [(f"G{g}", f"N{g}", ids[i], int(x[i, g])) for i in range(n) for g in range(8) if x[i, g]]
+    return ids, groups, y, x, samples, spark.createDataFrame(cells, "gene_id string, gene_name string, sample_id string, n long")
+
+
+def test_every_sample_of_a_large_cohort_is_fitted_on_when_groups_are_left_out(spark, large, monkeypatch):
+    ids, groups, y, x, samples, burden = large
+    monkeypatch.setattr(resampling.cohort_fits, "BLOCK_BYTES", 8 * len(ids) * 16)
+    sets = [("g0", "g2", "g4", "g6", "g9"), ("g1", "g3", "g5", "g7", "g9")]
+    rows = resampling.logo_predictions(burden, samples, "y", "gsm", LABELS, labelings=sets).collect()
+    assert len(rows) == 2 * len(ids)
+    for s, positive in enumerate(sets):
+        target = np.isin(groups, positive).astype(int)
+        for number, g in enumerate(sorted(set(groups)), 1):
+            want = direct(x, target, np.array(groups) != g, True)
+            part = {ids.index(r["sample_id"]): r for r in rows if (r["labeling"], r["fold"]) == (s, number)}
+            assert sorted(part) == [i for i, k in enumerate(groups) if k == g]
+            assert all(r["true_label"] == target[i] and r["decision_score"] == pytest.approx(want[i], abs=1e-6) for i, r in part.items())
+    lonely = samples.filter("y = 0 or gsm = 'g1'")
+    monkeypatch.setattr(resampling, "DIRECT_SAMPLES", 0)
+    with pytest.raises(Exception, match="one class only"):
+        resampling.logo_predictions(burden, lonely, "y", "gsm", LABELS).collect()
