@@ -300,3 +300,23 @@ def test_every_sample_of_a_large_cohort_is_fitted_on_when_groups_are_left_out(sp
     monkeypatch.setattr(resampling, "DIRECT_SAMPLES", 0)
     with pytest.raises(Exception, match="one class only"):
         resampling.logo_predictions(burden, lonely, "y", "gsm", LABELS).collect()
+
+
+def test_every_sample_of_a_large_cohort_is_fitted_on_in_repeated_folds(spark, large):
+    ids, groups, y, x, samples, burden = large
+    assert resampling.load_cohort(samples, "sample_id", "y", "gsm").ids == ids
+    rows = resampling.repeated_cv(burden, samples, "y", "gsm", LABELS, n_folds=2, repeats=2).collect()
+    assert len(rows) == 2 * len(ids)
+    for fold in range(1, 5):
+        part = {ids.index(r["sample_id"]): r for r in rows if r["fold"] == fold}
+        mask = np.array([i not in part for i in range(len(ids))])
+        want = direct(x, y, mask, True)
+        assert all(r["decision_score"] == pytest.approx(want[i], abs=1e-6) for i, r in part.items())
+    rows = resampling.plain_cv(burden, samples, "y", "gsm", n_folds=2, repeats=1, permutations=1).collect()
+    assert len(rows) == 2 * len(ids)
+    for labeling, fold in itertools.product((0, 1), (1, 2)):
+        label = np.array([r["y"] for r in sorted(rows, key=lambda r: r["at"]) if r["labeling"] == labeling])
+        part = {r["at"]: r for r in rows if (r["labeling"], r["fold"]) == (labeling, fold)}
+        want = direct(x, label, np.array([i not in part for i in range(len(ids))]), False)
+        assert label.sum() == y.sum()
+        assert all(r["decision_score"] == pytest.approx(want[i], abs=1e-6) for i, r in part.items())
