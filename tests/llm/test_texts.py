@@ -2,6 +2,7 @@
 
 import math
 import random
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -264,3 +265,28 @@ def test_trigrams_of_a_bucket_share_a_row_and_hot_words_are_spread():
     assert len(found) == len({t[1:4] for t in found}) and {t[1:4] for t in found} == set(zip(words[:-1], words[1:], [0, *words]))
     after = {v: {t[0] for t in found if t[1] == v} for v in {t[1] for t in found}}
     assert len(after.pop(int(hot.view(np.int64)[0]))) > 500 and all(len(b) == 1 for b in after.values())
+
+
+def test_toxicity_has_own_counts_for_rare_words_and_pairs(documents, spark, monkeypatch):
+    """With room for one word and pair in the model all others are looked up, and none has another's count."""
+    monkeypatch.setattr(toxicity, "BITS", 1 << 15)
+    rows = [(i, f"start{i % 7} alpha{i} beta{i % 50} gamma{i % 3}" + (" vile rot" if i % 10 == 0 else "")) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    part = (F.col("doc_id") % 4 == 3).cast("int") + F.when(F.col("doc_id") % 20 == 10, 1).otherwise(0)
+    plain = PlainModel([(t.split(), int(i % 10 == 0)) for i, t in rows if i % 4 != 3 and i % 20 != 10])
+    texts = [*rows, (None, ""), (900, None), (901, "vile rot " * 50), (901, "vile rot " * 50), (902, "Never seen START1 alpha4")]
+    learned = toxicity.learn(documents(rows), labels, part, sample=5, own=1)
+    assert len(learned.held.value.pairs.keys) <= 1 and len(learned.held.value.words.keys) <= 1
+    base, mean, peak = learned.curve
+    want = []
+    for i, t in texts:
+        m, p = plain.evidence((t or "").lower().split(), learned.strength)
+        want.append((-1 if i is None else i, 1 / (1 + math.exp(-max(-30, min(30, base + mean * m + peak * p))))))
+    got = sorted(toxicity.score(documents(texts), learned).toPandas().fillna(-1).itertuples(index=False, name=None))
+    assert [g[0] for g in got] == [w[0] for w in sorted(want)] and np.allclose([g[1] for g in got], [w[1] for w in sorted(want)], atol=1e-6)
+    assert toxicity.score(documents([]), learned).count() == 0
+    # Groups that are cut otherwise when the texts are read again find no answers and go through the buckets.
+    name = toxicity.lookup._name
+    monkeypatch.setattr(toxicity.lookup, "_name", lambda keys: name(keys) + uuid.uuid4().hex)
+    again = sorted(toxicity.score(documents(texts), learned).toPandas().fillna(-1).itertuples(index=False, name=None))
+    assert np.allclose(again, got, atol=1e-12)
